@@ -178,7 +178,7 @@ SELECT 'lineitem' AS table_name, (SELECT count(*) FROM lineitem WHERE l_linestat
        (SELECT count(*) FROM stored_lines) AS rows_written, 'SUCCESS' AS status, false AS names_column
 UNION ALL SELECT 'lineitem', 0, 0, 'FAILED', true"""),
     "rescued_rows": """
-SELECT * REPLACE (CASE WHEN bad THEN NULL ELSE o_custkey END AS o_custkey) EXCLUDE (bad),
+SELECT * EXCLUDE (bad) REPLACE (CASE WHEN bad THEN NULL ELSE o_custkey END AS o_custkey),
        CASE WHEN bad THEN '{"o_custkey":"C' || o_custkey || '"}' END AS _rescued_data
 FROM (SELECT *, o_orderstatus = 'O' AND o_totalprice > 250000 AS bad FROM orders)""",
     "user_attribute_hash": with_relations("""
@@ -208,7 +208,7 @@ FROM (SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS k FROM orders)""",
     "fact_resolved": with_relations(fact("dim_user_second")),
     "fact_required": with_relations("SELECT * FROM streams WHERE user_id IS NOT NULL AND listen_duration > 0"),
     "fact_expectations": with_relations("""
-, shortened AS (SELECT * REPLACE (nullif(listen_duration - 1, 5) AS listen_duration) FROM streams)
+, shortened AS (SELECT * REPLACE (nullif(listen_duration - 2, 5) AS listen_duration) FROM streams)
 SELECT 'user_id_not_null' AS expectation, count(*) FILTER (user_id IS NULL) AS violations FROM shortened
 UNION ALL SELECT 'listen_duration_positive', count(*) FILTER (NOT coalesce(listen_duration > 0, false)) FROM shortened
 UNION ALL SELECT 'track_id_small', count(*) FILTER (NOT coalesce(track_id < 50, false)) FROM shortened"""),

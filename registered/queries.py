@@ -22,7 +22,13 @@ from registered.relations import (
 from siltstone.functions.derive import calendar_columns, conform
 from siltstone.operators.expectations import Expectation, require, violations
 from siltstone.operators.joins import join_chain
-from siltstone.operators.keyed import latest_per_key, merge_metrics, update_matched, upsert
+from siltstone.operators.keyed import (
+    latest_per_key,
+    merge_metrics,
+    newer_than_stored,
+    update_matched,
+    upsert,
+)
 from siltstone.operators.quality import (
     foreign_key_checks,
     orphans,
@@ -35,7 +41,7 @@ from siltstone.operators.quality import (
 from siltstone.operators.scd2 import attribute_hash, scd2_apply, scd2_changes
 from siltstone.plans import control, listening, runs
 from siltstone.plans.listening import ARTIST_DIMENSION, FOREIGN_KEYS, RULES, USER_DIMENSION, VIEWS
-from siltstone.session import fresh_dir, tune
+from siltstone.session import fresh_dir, stored, tune
 from siltstone.sinks.logs import failure_windows, newest_first, recent_runs
 from siltstone.sinks.publish import publish_table
 from siltstone.sinks.upsert import upsert_table
@@ -168,14 +174,15 @@ def _latest_lines(t: Tables, status: str) -> DataFrame:
 
 @registered
 def keyed_upsert(t: Tables) -> DataFrame:
-    return upsert(_latest_lines(t, "F"), _latest_lines(t, "O"), LINE_KEYS)
+    return upsert(_latest_lines(t, "F"), stored(_latest_lines(t, "O"), "batch"), LINE_KEYS)
 
 
 @registered
 def keyed_upsert_guarded(t: Tables) -> DataFrame:
-    return upsert(
-        _latest_lines(t, "F"), _latest_lines(t, "O"), LINE_KEYS, guard_order="l_shipdate"
-    )
+    target = stored(_latest_lines(t, "F"), "target")
+    batch = stored(_latest_lines(t, "O"), "batch")
+    accepted = stored(newer_than_stored(target, batch, LINE_KEYS, "l_shipdate"), "accepted")
+    return upsert(target, accepted, LINE_KEYS)
 
 
 @registered
@@ -356,9 +363,9 @@ def fact_required(t: Tables) -> DataFrame:
 
 @registered
 def fact_expectations(t: Tables) -> DataFrame:
-    """Violation counts on streams cut by a second, some of which are not positive then."""
+    """Violation counts on streams cut by two seconds, some of which are not positive then."""
     shortened = t.silver("FactStream").withColumn(
-        "listen_duration", F.nullif(F.col("listen_duration") - 1, F.lit(5.0))
+        "listen_duration", F.nullif(F.col("listen_duration") - 2, F.lit(5.0))
     )
     return violations(
         shortened,

@@ -120,7 +120,7 @@ class Tables:
             "user_id",
             F.get_json_object("props", "$.k").cast("bigint").alias("track_id"),
             F.date_format("ts", "yyyyMMdd").cast("int").alias("date_key"),
-            F.col("value").alias("listen_duration"),
+            (F.col("value") + 1).alias("listen_duration"),
             F.col("event_type").alias("device_type"),
             F.col("ts").alias("stream_timestamp"),
         )
@@ -140,7 +140,7 @@ class Tables:
     def first_dimension(self, spec: Scd2Spec) -> DataFrame:
         """The dimension after its first run."""
         source = self.earlier_users() if spec is USER_DIMENSION else self.earlier_artists()
-        empty = self.spark.createDataFrame([], dimension_schema(source.schema, spec))
+        empty = self.spark.createDataFrame([], dimension_schema(source.schema, spec)).limit(0)
         return scd2_apply(empty, source, spec, FIRST_RUN)
 
     def dimension(self, spec: Scd2Spec) -> DataFrame:
@@ -267,7 +267,7 @@ tracks AS (
   FROM part),
 streams AS (
   SELECT event_id AS stream_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS track_id,
-         CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, value AS listen_duration,
+         CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, value + 1 AS listen_duration,
          event_type AS device_type, ts AS stream_timestamp, CAST(ts AS DATE) AS event_date
   FROM events),
 loads AS (

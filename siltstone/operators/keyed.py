@@ -89,21 +89,15 @@ def newer_than_stored(
     return without_keys(batch, losing, keys)
 
 
-def upsert(
-    target: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    guard_order: str | None = None,
-) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """State after replacing matched rows and inserting the others.
 
-    ``batch`` must be unique per key. The incoming row wins even when it is older,
-    unless ``guard_order`` names a column that must not go backwards. A NULL key never
-    matches and is inserted again each time.
+    ``batch`` must be unique per key. The incoming row wins even when it is older; to
+    keep newer stored rows, narrow the batch with :func:`newer_than_stored` first. A
+    NULL key never matches and is inserted again each time. The batch is used twice, so
+    give one that is stored or persisted.
     """
     rows = batch.select(*[quoted(c) for c in target.columns])
-    if guard_order:
-        rows = newer_than_stored(target, rows, keys, guard_order)
     return without_keys(target, rows, keys).unionByName(rows)
 
 

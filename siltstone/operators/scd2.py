@@ -70,6 +70,13 @@ def _version_columns(spec: Scd2Spec, stamp: Column, day: Column) -> dict[str, Co
     }
 
 
+def _fitted(rows: DataFrame, dimension: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Columns in the dimension's order and types."""
+    return rows.select(
+        *[F.col(quoted(c)).cast(dimension.schema[c].dataType).alias(c) for c in spec.columns]
+    )
+
+
 def _current(dimension: DataFrame) -> DataFrame:
     return dimension.filter(F.col("is_current"))
 
@@ -92,7 +99,7 @@ def scd2_changes(
     stamp, day = _stamps(run_ts, run_date)
     known = _current(dimension).select(*[quoted(k) for k in spec.keys], "attribute_hash")
     first = quoted(spec.keys[0])
-    return (
+    changed = (
         _renamed(source, spec)
         .alias("s")
         .join(known.alias("t"), key_match(spec.keys, "s", "t"), "left")
@@ -101,8 +108,8 @@ def scd2_changes(
         )
         .select("s.*")
         .withColumns(_version_columns(spec, stamp, day))
-        .select(*[quoted(c) for c in spec.columns])
     )
+    return _fitted(changed, dimension, spec)
 
 
 def scd2_merge(
@@ -139,28 +146,32 @@ def scd2_apply(
 
     Equals ``scd2_merge(dimension, scd2_changes(...))`` without needing the changes
     twice: one full outer join by key, each pair emitting the stored row (expired when
-    changed) and the new version. Rows with a NULL key match nothing, so they bypass
-    the join and cannot pile up in one of its partitions.
+    changed) and the new version. History and rows with a NULL key match nothing, so
+    they bypass the join: they are not shuffled and cannot pile up in one partition.
+    What remains is unique per key on both sides.
     """
     stamp, day = _stamps(run_ts, run_date)
     null_key = reduce(Column.__or__, [F.col(quoted(k)).isNull() for k in spec.keys])
     incoming = _renamed(source, spec)
-    current = _current(dimension)
     columns = [quoted(c) for c in spec.columns]
+    closing = {"end_date": day, "is_current": F.lit(False), "record_end_ts": stamp}
 
-    stored_keyless = current.filter(null_key).select(*columns)
+    is_current = F.coalesce(F.col("is_current"), F.lit(False))
+    passing = dimension.filter(~is_current | null_key).select(*columns)
     if spec.expire_missing:
-        stored_keyless = stored_keyless.withColumns(
-            {"end_date": day, "is_current": F.lit(False), "record_end_ts": stamp}
+        passing = passing.withColumns(
+            {
+                name: F.when(is_current, value).otherwise(F.col(quoted(name)))
+                for name, value in closing.items()
+            }
         )
-    new_keyless = (
-        incoming.filter(null_key)
-        .withColumns(_version_columns(spec, stamp, day))
-        .select(*columns)
-    )
+    keyless = incoming.filter(null_key).withColumns(_version_columns(spec, stamp, day))
 
     pairs = (
-        current.filter(~null_key).withColumn("_stored", F.lit(True)).alias("t")
+        _current(dimension)
+        .filter(~null_key)
+        .withColumn("_stored", F.lit(True))
+        .alias("t")
         .join(
             incoming.filter(~null_key).withColumn("_incoming", F.lit(True)).alias("s"),
             key_match(spec.keys, "t", "s"),
@@ -173,7 +184,6 @@ def scd2_apply(
         | F.coalesce(F.col("s.attribute_hash") != F.col("t.attribute_hash"), F.lit(False))
     )
     closed = changed | (~arrived) if spec.expire_missing else changed
-    closing = {"end_date": day, "is_current": F.lit(False), "record_end_ts": stamp}
     opening = {
         **_version_columns(spec, stamp, day),
         spec.surrogate: hash_key(*[F.col(f"s.{quoted(k)}") for k in spec.keys], stamp),
@@ -198,20 +208,14 @@ def scd2_apply(
         .filter("_emit")
         .drop("_emit")
     )
-    return (
-        _past(dimension)
-        .select(*columns)
-        .unionByName(stored_keyless)
-        .unionByName(new_keyless)
-        .unionByName(versions)
-    )
+    return passing.unionByName(_fitted(keyless, dimension, spec)).unionByName(versions)
 
 
 def duplicate_keys(source: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Keys that occur more than once; applying a dimension needs this to be empty."""
     return (
-        source.groupBy(*[F.col(quoted(k)) for k in keys])
+        source.dropna(subset=list(keys))
+        .groupBy(*[F.col(quoted(k)) for k in keys])
         .agg(F.count(F.lit(1)).alias("row_count"))
         .filter("row_count > 1")
-        .filter(reduce(Column.__and__, [F.col(quoted(k)).isNotNull() for k in keys]))
     )

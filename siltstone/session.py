@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on: UTC makes timestamp text (and so hashed
 # keys) reproducible, AQE sizes partitions, splits hot keys and turns joins into
@@ -47,3 +47,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A shared path nobody has used before."""
     return shared_dir(spark, "siltstone", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder and read back, for repeated use.
+
+    Survives the loss of executors, and readers still prune columns and push filters.
+    """
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

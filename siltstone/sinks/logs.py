@@ -68,8 +68,13 @@ def log_checks(
 
 
 def newest_first(df: DataFrame, column: str) -> DataFrame:
-    """A listing of the whole table, newest entry first."""
-    return df.orderBy(F.col(column).desc())
+    """A listing of the whole table, newest entry first.
+
+    The other columns order entries of the same time, which also lets the sort split
+    a moment that holds very many of them.
+    """
+    rest = [F.col(c) for c in df.columns if c != column]
+    return df.orderBy(F.col(column).desc(), *rest)
 
 
 def recent_runs(log: DataFrame, limit: int = 1) -> DataFrame:

@@ -65,20 +65,35 @@ def upsert_table(
 
     target = spark.table(table)
     batch = batch.select(*[quoted(c) for c in target.columns])
-    if provider(spark, table) in ROW_LEVEL_PROVIDERS:
-        return _merge_into(batch, target, table, keys, guard_order)
-    if guard_order:
-        batch = newer_than_stored(target, batch, keys, guard_order)
+    merge = _merge_into if provider(spark, table) in ROW_LEVEL_PROVIDERS else _rewrite
+    if not guard_order:
+        return merge(batch, target, table, keys, partition_by, stable_partitions)
+    batch = newer_than_stored(target, batch, keys, guard_order).persist()
+    try:
+        return merge(batch, target, table, keys, partition_by, stable_partitions)
+    finally:
+        batch.unpersist()
 
-    affected = set()
+
+def _matched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    wanted = batch.select(*[quoted(k) for k in keys])
+    return target.alias("t").join(wanted.alias("b"), key_match(keys, "t", "b"), "left_semi")
+
+
+def _rewrite(
+    batch: DataFrame,
+    target: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    stable_partitions: bool,
+) -> Merged:
+    """Write the merged rows of the table, or of its affected partitions, and swap them in."""
+    spark, affected = batch.sparkSession, set()
     if partition_by:
         affected = partition_keys(batch, partition_by)
         if not stable_partitions:
-            wanted = batch.select(*[quoted(k) for k in keys])
-            matched = target.alias("t").join(
-                wanted.alias("b"), key_match(keys, "t", "b"), "left_semi"
-            )
-            affected |= partition_keys(matched, partition_by)
+            affected |= partition_keys(_matched(target, batch, keys), partition_by)
         if not affected:
             return Merged(0, 0)
         target = target.filter(partition_filter(target.schema, partition_by, affected))
@@ -91,13 +106,6 @@ def upsert_table(
         .withColumn(INCOMING, F.lit(False))
         .unionByName(batch.withColumn(INCOMING, F.lit(True)))
     )
-    kept, incoming = _write_state(state, table, partition_by, affected)
-    updated = stored - kept
-    return Merged(incoming - updated, updated)
-
-
-def _write_state(state: DataFrame, table: str, partition_by, affected) -> tuple[int, int]:
-    spark = state.sparkSession
     metrics = {"rows_incoming": F.count_if(F.col(INCOMING))}
     if partition_by:
         done = write_snapshot(
@@ -108,20 +116,23 @@ def _write_state(state: DataFrame, table: str, partition_by, affected) -> tuple[
     else:
         done = publish_table(state, table, metrics=metrics, drop=(INCOMING,))
     incoming = int(done.metrics.get("rows_incoming") or 0)
-    return done.rows - incoming, incoming
+    updated = stored - (done.rows - incoming)
+    return Merged(incoming - updated, updated)
 
 
 def _merge_into(
-    batch: DataFrame, target: DataFrame, table: str, keys: Sequence[str], guard_order: str | None
+    batch: DataFrame,
+    target: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    stable_partitions: bool,
 ) -> Merged:
     """Row-level MERGE. Counts come from a join on the keys made before the merge."""
-    matched = target.alias("t").join(batch.alias("b"), key_match(keys, "t", "b"), "left_semi")
-    if guard_order:
-        batch = newer_than_stored(target, batch, keys, guard_order).persist()
-        matched = target.alias("t").join(batch.alias("b"), key_match(keys, "t", "b"), "left_semi")
-    total, updated = batch.count(), matched.count()
-    alias = table.split(".")[-1]
-    condition = " AND ".join(f"{quoted(alias)}.{quoted(k)} = b.{quoted(k)}" for k in keys)
+    total, updated = batch.count(), _matched(target, batch, keys).count()
+    condition = " AND ".join(
+        f"{quoted(table.split('.')[-1])}.{quoted(k)} = b.{quoted(k)}" for k in keys
+    )
     (
         batch.alias("b")
         .mergeInto(table, F.expr(condition))
