@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StructType, VariantType, ArrayType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from siltstone.specs import quoted
 
@@ -33,24 +33,20 @@ def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order_column: str,
-    tie_breakers: Sequence[str] | None = None,
+    tie_breakers: Sequence[str] = (),
 ) -> DataFrame:
     """The row with the greatest ``order_column`` per key; NULL order sorts last.
 
-    Ties are broken by ``tie_breakers``, by default by all remaining columns, which
-    makes the choice a function of the data alone. Without keys the input is returned.
-    The rank filter lets Spark cut every group to one row per task before the shuffle,
-    so a hot key sends one row per task, not all of them.
+    Ties are broken by ``tie_breakers``, then by all remaining columns. That makes the
+    choice a function of the data alone, so a recomputed partition chooses the same row.
+    Without keys the input is returned. The rank filter lets Spark cut every group to
+    one row per task before the shuffle: a hot key sends one row per task, not all.
     """
     if not keys:
         return df
-    if tie_breakers is None:
-        tie_breakers = [
-            field.name
-            for field in df.schema.fields
-            if field.name not in (*keys, order_column) and _sortable(field.dataType)
-        ]
-    order = [F.col(quoted(c)).desc_nulls_last() for c in (order_column, *tie_breakers)]
+    others = [field.name for field in df.schema.fields if _sortable(field.dataType)]
+    ordering = dict.fromkeys([order_column, *tie_breakers, *others])
+    order = [F.col(quoted(c)).desc_nulls_last() for c in ordering if c not in keys]
     window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 

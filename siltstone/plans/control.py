@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,10 +150,12 @@ def record_load(
     publish_table(watermark_upsert(spark.table(watermarks), update, now), watermarks)
 
 
-def record_table_size(spark: SparkSession, layers: Layers, table: str, rows: int) -> None:
-    """Store the row count of a silver table for the next drift check."""
+def record_table_sizes(spark: SparkSession, layers: Layers, sizes: Mapping[str, int]) -> None:
+    """Store the row counts of silver tables for the next drift check."""
     watermarks = layers.metadata_table(WATERMARKS)
-    size = F.when(F.col("table_name") == table, F.lit(int(rows))).otherwise(
-        F.col("table_row_count")
+    given = inline_rows(spark, sizes.items(), "table_name STRING, _rows BIGINT")
+    stored = spark.table(watermarks)
+    updated = stored.join(given, "table_name", "left").withColumn(
+        "table_row_count", F.coalesce("_rows", "table_row_count")
     )
-    publish_table(spark.table(watermarks).withColumn("table_row_count", size), watermarks)
+    publish_table(updated.select(*stored.columns), watermarks)

@@ -209,12 +209,17 @@ def swap_partitions(
 ) -> None:
     """Point each partition written at ``location`` to its folder; drop the other ``replaced``.
 
+    ``replaced`` are the partitions whose old rows are accounted for in the new ones.
+
     Receiving partitions move first. If the driver dies in between, a row that changed
     partition can be seen twice but never not at all, and repeating the batch repairs it.
     """
     name = quoted_table(table)
     folders = _written_folders(spark, location, len(partition_by))
     existing = table_partitions(spark, table)
+    unplanned = (folders.keys() & existing) - replaced
+    if unplanned:
+        raise RuntimeError(f"{table}: would overwrite partitions not read before: {unplanned}")
     added = [
         f"PARTITION ({_clause(key, partition_by)}) LOCATION '{path}'"
         for key, path in folders.items()
@@ -229,3 +234,34 @@ def swap_partitions(
             )
     for key in (replaced & existing) - folders.keys():
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_clause(key, partition_by)})")
+
+
+def sweep_snapshots(
+    spark: SparkSession, table: str, partition_by: Sequence[str] = (), min_age_hours: float = 24
+) -> list[str]:
+    """Delete folders of a table's former snapshots and return them.
+
+    Kept are folders the table still reads and those younger than ``min_age_hours``,
+    which running readers may need.
+    """
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(table)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    live = {path(where.filter("col_name = 'Location'").first()["data_type"]).toUri().getPath()}
+    if partition_by:
+        # One path per partition comes back; the scan reads no column.
+        folder = F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1)
+        rows = spark.table(table).select(folder.alias("folder")).distinct().collect()
+        live |= {unquote(path(row["folder"]).toUri().getPath()) for row in rows}
+
+    pattern = path(table_root(spark, table) + "/*" + "/*=*" * len(partition_by))
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest_kept = (datetime.now(timezone.utc).timestamp() - min_age_hours * 3600) * 1000
+    gone = [
+        status.getPath()
+        for status in system.globStatus(pattern) or []
+        if status.getModificationTime() < oldest_kept
+        and status.getPath().toUri().getPath() not in live
+    ]
+    for old in gone:
+        system.delete(old, True)
+    return [str(old.toString()) for old in gone]

@@ -36,7 +36,7 @@ class TableSpec:
     silver_table: str | None = None
     target_path: str | None = None
     partition_by: tuple[str, ...] = ()
-    tie_breakers: tuple[str, ...] | None = None
+    tie_breakers: tuple[str, ...] = ()
     rules: tuple[ColumnRule, ...] = ()
     is_active: bool = True
     # True promises that a key never changes partition, so an upsert looks for

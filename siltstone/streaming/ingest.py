@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.functions.derive import conform
 from siltstone.operators.keyed import latest_per_key
-from siltstone.plans.control import RUN_LOG, record_table_size
+from siltstone.plans.control import RUN_LOG, record_table_sizes
 from siltstone.sinks.logs import FAILED, SUCCESS, RunEntry, log_run
 from siltstone.sinks.upsert import Merged, upsert_table
 from siltstone.specs import Layers, TableSpec
@@ -103,6 +103,7 @@ def ingest_all(
 
 def record_sizes(spark: SparkSession, specs: Iterable[TableSpec], layers: Layers) -> None:
     """Note the size of each silver table for the next drift check."""
-    for spec in specs:
-        rows = spark.table(layers.silver_table(spec.silver_table)).count()
-        record_table_size(spark, layers, spec.name, rows)
+    sizes = {
+        spec.name: spark.table(layers.silver_table(spec.silver_table)).count() for spec in specs
+    }
+    record_table_sizes(spark, layers, sizes)

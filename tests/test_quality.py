@@ -11,7 +11,7 @@ from siltstone.operators.quality import (
     run_checks,
     with_previous_counts,
 )
-from siltstone.plans.control import record_table_size
+from siltstone.plans.control import bootstrap, record_table_sizes
 from siltstone.plans.runs import QualityError, run_quality
 from siltstone.sinks.publish import publish_table
 from siltstone.specs import ForeignKey, TableSpec
@@ -98,11 +98,9 @@ def test_run_logs_everything_and_then_fails(spark, layers, rows):
 
 
 def test_warning_does_not_fail(spark, layers, rows):
-    from siltstone.plans.control import bootstrap
-
     spec = TableSpec("T", "id", ("id",), "id")
     bootstrap(spark, layers, [spec])
     publish_table(ids(spark, [1, 2, 3]), layers.silver_table("T"))
-    record_table_size(spark, layers, "T", 1)
+    record_table_sizes(spark, layers, {"T": 1})
     checks = run_quality(spark, layers, [spec], [])
     assert [c["status"] for c in checks] == ["PASS", "WARNING"]

@@ -19,9 +19,13 @@ from siltstone.sinks.logs import (
 )
 from siltstone.sinks.publish import (
     create_table,
+    new_snapshot_path,
     partition_filter,
     publish_table,
+    swap_partitions,
+    sweep_snapshots,
     table_partitions,
+    write_snapshot,
 )
 from siltstone.sinks.upsert import Merged, upsert_table
 
@@ -172,6 +176,33 @@ def test_partitioned_upserts_fold_like_a_dictionary(spark, layers, rows, batches
     )
 
 
+def test_partitions_not_read_before_are_never_overwritten(spark, layers, rows):
+    table = layers.silver_table("t")
+    upsert_table(frame(spark, [(1, "a", day(1), 1), (2, "b", day(2), 1)]), table, ["id"], ["day"])
+    done = write_snapshot(frame(spark, [(9, "z", day(2), 1)]), new_snapshot_path(spark, table), ["day"])
+    with pytest.raises(RuntimeError, match="not read before"):
+        swap_partitions(spark, table, ["day"], done.location, {("2026-03-01",)})
+    assert rows(spark.table(table), "id") == [(1,), (2,)]
+
+
+def test_sweep_deletes_only_former_snapshots(spark, layers, rows):
+    plain, parted = layers.gold_table("plain"), layers.gold_table("parted")
+    for n in (1, 2, 3):
+        publish_table(frame(spark, [(n, "a", day(n), 1)]), plain)
+        upsert_table(frame(spark, [(1, f"v{n}", day(1), 1), (n + 1, "x y", None, 1)]), parted, ["id"], ["day"])
+    assert sweep_snapshots(spark, plain) == sweep_snapshots(spark, parted, ["day"]) == []
+    assert len(sweep_snapshots(spark, plain, min_age_hours=-1)) == 2
+    assert len(sweep_snapshots(spark, parted, ["day"], min_age_hours=-1)) == 4
+    spark.catalog.refreshTable(plain)
+    assert rows(spark.table(plain), "id") == [(3,)]
+    assert rows(spark.table(parted), "id", "v") == [(1, "v3"), (2, "x y"), (3, "x y"), (4, "x y")]
+    odd = layers.gold_table("odd")
+    for n in (1, 2):
+        publish_table(spark.createDataFrame([(n, "a/b: 100% c'd")], "id int, p string"), odd, ["p"])
+    assert len(sweep_snapshots(spark, odd, ["p"], min_age_hours=-1)) == 1
+    assert rows(spark.table(odd), "id") == [(2,)]
+
+
 def test_create_table_if_absent(spark, layers):
     table = layers.gold_table("t")
     create_table(spark, table, "a int NOT NULL, b string")
