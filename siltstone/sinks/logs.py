@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.sinks.publish import append_table
+from siltstone.sources.tables import inline_rows
 
 RUN_LOG_DDL = (
     "event_timestamp TIMESTAMP, notebook_name STRING, table_name STRING, rows_read BIGINT, "
@@ -54,7 +55,7 @@ def log_run(
         str(entry.batch_id),
         str(entry.run_id),
     )
-    append_table(spark.createDataFrame([row], RUN_LOG_DDL).coalesce(1), table)
+    append_table(inline_rows(spark, [row], RUN_LOG_DDL), table)
 
 
 def log_checks(
@@ -64,7 +65,7 @@ def log_checks(
     at = at or _utc_now()
     rows = [(at, c["table_name"], c["check_name"], c["status"], c["details"]) for c in checks]
     if rows:
-        append_table(spark.createDataFrame(rows, QUALITY_LOG_DDL).coalesce(1), table)
+        append_table(inline_rows(spark, rows, QUALITY_LOG_DDL), table)
 
 
 def newest_first(df: DataFrame, column: str) -> DataFrame:

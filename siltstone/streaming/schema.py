@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone.functions.derive import RESCUED
+from siltstone.sources.tables import inline_rows
 from siltstone.specs import quoted
 
 MERGE_CONFLICT = "CANNOT_MERGE_SCHEMAS"
@@ -54,8 +55,7 @@ def pinned_schema(spark: SparkSession, location: str, paths: Sequence[str]) -> S
     if stored is not None:
         return StructType.fromJson(json.loads(stored["value"]))
     schema = file_schemas(spark, paths)[0][0]
-    text = spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1)
-    text.write.mode("overwrite").text(location)
+    inline_rows(spark, [(schema.json(),)], "value STRING").write.mode("overwrite").text(location)
     return schema
 
 
