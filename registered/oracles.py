@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registered.relations import FIRST_RUN, RUN_TS, with_relations
+from registered.relations import RUN_TS, with_relations
 
 USER_COLUMNS = (
     "surrogate_user_key, user_id, user_name, country, subscription_type, source_start_date, "
@@ -20,8 +20,8 @@ CALENDAR = """
   dayname(date) AS weekday"""
 
 
-def fact(user_name: str) -> str:
-    """The resolved fact; names are upper-cased before hashing only in a full run."""
+def fact(users: str, artists: str) -> str:
+    """The resolved fact over the given dimensions."""
     return f"""
 SELECT f.stream_id, f.user_id, f.track_id, t.artist_id, f.date_key, f.listen_duration,
        f.device_type, f.stream_timestamp, f.event_date, u.surrogate_user_key AS user_key,
@@ -30,9 +30,8 @@ SELECT f.stream_id, f.user_id, f.track_id, t.artist_id, f.date_key, f.listen_dur
        sha256(CAST(f.date_key AS VARCHAR)) AS date_dim_key
 FROM streams f
 LEFT JOIN tracks t ON f.track_id = t.track_id
-LEFT JOIN {user_name} u ON f.user_id = u.user_id AND u.is_current
-LEFT JOIN {'dim_artist_second' if user_name == 'dim_user_second' else 'fresh_artists'} a
-  ON t.artist_id = a.artist_id AND a.is_current"""
+LEFT JOIN {users} u ON f.user_id = u.user_id AND u.is_current
+LEFT JOIN {artists} a ON t.artist_id = a.artist_id AND a.is_current"""
 
 
 CHECKED = """
@@ -158,7 +157,7 @@ SELECT * FROM orders QUALIFY row_number() OVER (
 SELECT * FROM (SELECT * FROM stored_lines UNION ALL SELECT * FROM incoming_lines)
 QUALIFY row_number() OVER (
   PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_linestatus DESC) = 1"""),
-    "upsert_metrics": with_relations("""
+    "merge_metrics": with_relations("""
 SELECT count(*) FILTER (s.l_orderkey IS NULL) AS rows_inserted,
        count(s.l_orderkey) AS rows_updated, count(*) AS rows_written
 FROM incoming_lines i LEFT JOIN stored_lines s
@@ -205,7 +204,7 @@ FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders)""",
     "date_keys": """
 SELECT CAST(k AS INTEGER) AS date_key, sha256(k) AS date_dim_key
 FROM (SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS k FROM orders)""",
-    "fact_resolved": with_relations(fact("dim_user_second")),
+    "fact_resolved": with_relations(fact("dim_user_second", "dim_artist_second")),
     "fact_required": with_relations("SELECT * FROM streams WHERE user_id IS NOT NULL AND listen_duration > 0"),
     "fact_expectations": with_relations("""
 , shortened AS (SELECT * REPLACE (nullif(listen_duration - 2, 5) AS listen_duration) FROM streams)
@@ -218,8 +217,8 @@ SELECT factstream.stream_id, factstream.listen_duration, dimuser.user_id, dimuse
 FROM streams AS factstream
 LEFT JOIN users AS dimuser ON factstream.user_id = dimuser.user_id
 LEFT JOIN tracks AS dimtrack ON factstream.track_id = dimtrack.track_id"""),
-    "full_run_fact": with_relations(FRESH + fact("fresh_users")),
-    "pk_nulls": with_relations(CHECKED + "SELECT * FROM pk_nulls"),
+    "full_run_fact": with_relations(FRESH + fact("fresh_users", "fresh_artists")),
+    "pk_null_checks": with_relations(CHECKED + "SELECT * FROM pk_nulls"),
     "row_drift": with_relations(CHECKED + "SELECT * FROM row_drift"),
     "fk_checks": with_relations(CHECKED + "SELECT * FROM fk_checks"),
     "fk_orphans": with_relations(CHECKED + "SELECT user_id AS orphan_key FROM orphan_users"),

@@ -20,24 +20,15 @@ from registered.relations import (
     Tables,
 )
 from siltstone.functions.derive import calendar_columns, conform
+from siltstone.operators import keyed, quality
 from siltstone.operators.expectations import Expectation, require, violations
 from siltstone.operators.joins import join_chain
 from siltstone.operators.keyed import (
     latest_per_key,
-    merge_metrics,
     newer_than_stored,
     update_matched,
     upsert,
 )
-from siltstone.operators.quality import (
-    foreign_key_checks,
-    orphans,
-    pk_null_checks,
-    profiles,
-    row_drift_checks,
-    run_checks,
-    with_previous_counts,
-)
 from siltstone.operators.scd2 import attribute_hash, scd2_apply, scd2_changes
 from siltstone.plans import control, listening, runs
 from siltstone.plans.listening import ARTIST_DIMENSION, FOREIGN_KEYS, RULES, USER_DIMENSION, VIEWS
@@ -186,8 +177,8 @@ def keyed_upsert_guarded(t: Tables) -> DataFrame:
 
 
 @registered
-def upsert_metrics(t: Tables) -> DataFrame:
-    return merge_metrics(_latest_lines(t, "F"), _latest_lines(t, "O"), LINE_KEYS)
+def merge_metrics(t: Tables) -> DataFrame:
+    return keyed.merge_metrics(_latest_lines(t, "F"), _latest_lines(t, "O"), LINE_KEYS)
 
 
 @registered
@@ -439,31 +430,31 @@ def _previous(t: Tables) -> DataFrame:
 
 
 @registered
-def pk_nulls(t: Tables) -> DataFrame:
-    return pk_null_checks(profiles(_checked(t), CHECKED_KEYS))
+def pk_null_checks(t: Tables) -> DataFrame:
+    return quality.pk_null_checks(quality.profiles(_checked(t), CHECKED_KEYS))
 
 
 @registered
 def row_drift(t: Tables) -> DataFrame:
-    measured = profiles(_checked(t), CHECKED_KEYS)
-    return row_drift_checks(with_previous_counts(measured, _previous(t), "rows"))
+    measured = quality.profiles(_checked(t), CHECKED_KEYS)
+    return quality.row_drift_checks(quality.with_previous_counts(measured, _previous(t), "rows"))
 
 
 @registered
 def fk_checks(t: Tables) -> DataFrame:
-    return foreign_key_checks(_checked(t).__getitem__, FOREIGN_KEYS)
+    return quality.foreign_key_checks(_checked(t).__getitem__, FOREIGN_KEYS)
 
 
 @registered
 def fk_orphans(t: Tables) -> DataFrame:
     tables = _checked(t)
     key = FOREIGN_KEYS[0]
-    return orphans(tables[key.child], tables[key.parent], key)
+    return quality.orphans(tables[key.child], tables[key.parent], key)
 
 
 @registered
 def quality_log(t: Tables) -> DataFrame:
-    return run_checks(
+    return quality.run_checks(
         _checked(t).__getitem__, CHECKED_KEYS, FOREIGN_KEYS, _previous(t), "rows"
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from siltstone.operators.scd2 import dimension_schema, scd2_apply
 from siltstone.plans.control import WATERMARK_DDL
 from siltstone.plans.listening import ARTIST_DIMENSION, USER_DIMENSION
+from siltstone.session import stored
 from siltstone.specs import Scd2Spec, TableSpec
 
 FIRST_RUN = "2026-03-01 00:00:00"
@@ -138,10 +139,10 @@ class Tables:
         return relations[name]()
 
     def first_dimension(self, spec: Scd2Spec) -> DataFrame:
-        """The dimension after its first run."""
+        """The dimension after its first run, kept as a table would be."""
         source = self.earlier_users() if spec is USER_DIMENSION else self.earlier_artists()
         empty = self.spark.createDataFrame([], dimension_schema(source.schema, spec)).limit(0)
-        return scd2_apply(empty, source, spec, FIRST_RUN)
+        return stored(scd2_apply(empty, source, spec, FIRST_RUN), "dimension")
 
     def dimension(self, spec: Scd2Spec) -> DataFrame:
         """The dimension after its second run."""

@@ -53,13 +53,16 @@ def create_table(
     location: str | None = None,
     replace: bool = False,
 ) -> None:
-    """Create a parquet table unless it exists; ``replace`` drops an existing one first."""
+    """Create a parquet table unless it exists; ``replace`` drops an existing one first.
+
+    Columns of a ``StructType`` become nullable: that one result had no NULL in a column
+    says nothing about the next.
+    """
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {quoted_table(table)}")
     if isinstance(schema, StructType):
         schema = ", ".join(
-            f"{quoted(f.name)} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-            for f in schema.fields
+            f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields
         )
     parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     place = f" LOCATION '{location}'" if location else ""
@@ -120,7 +123,8 @@ def publish_table(
 ) -> Published:
     """Replace the whole content of a table, creating it on first use.
 
-    Violated expectations are counted while writing and abort before the swap.
+    Violated expectations are counted while writing and abort before the swap. When the
+    columns have changed, the table is declared anew.
     """
     spark = df.sparkSession
     checks = violation_columns(expectations)
@@ -131,8 +135,10 @@ def publish_table(
     if broken:
         raise ExpectationError(table, broken)
 
-    if not spark.catalog.tableExists(table):
-        create_table(spark, table, df.drop(*drop).schema, partition_by, done.location)
+    exists = spark.catalog.tableExists(table)
+    written = df.drop(*drop)
+    if not exists or sorted(spark.table(table).dtypes) != sorted(written.dtypes):
+        create_table(spark, table, written.schema, partition_by, done.location, replace=exists)
         if partition_by:
             spark.sql(f"MSCK REPAIR TABLE {quoted_table(table)}")
     elif partition_by:

@@ -12,6 +12,7 @@ from siltstone.operators.joins import Lookup, resolve_keys
 from siltstone.operators.keyed import without_keys
 from siltstone.plans.listening import VIEWS
 from siltstone.session import shared_dir, stored
+from siltstone.sinks.publish import publish_table
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -81,6 +82,15 @@ def test_fact_joins_the_artist_on_the_track_side(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_hot_partition_is_written_as_several_files(spark, layers):
+    rows = hot_fact(spark, None).withColumn("day", F.when(F.col("k").isNotNull(), F.col("k") % 5))
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="300KB"):
+        publish_table(rows, layers.silver_table("t"), ["day"])
+    files = spark.table(layers.silver_table("t")).inputFiles()
+    hot = [f for f in files if "HIVE_DEFAULT" in f]
+    assert 2 <= len(hot) <= 20 and len(files) - len(hot) <= 25
+
+
 def test_stored_rows_prune_columns(spark):
     kept = stored(spark.sql("select 1 as a, 2 as b"), "t")
     assert "ReadSchema: struct<a:int>" in plan_of(kept.select("a"))

@@ -66,6 +66,21 @@ def test_publish_of_nothing(spark, layers, rows):
     assert spark.table(table).count() == 0
 
 
+def test_publish_with_other_columns_declares_the_table_anew(spark, layers, rows):
+    table, parted = layers.gold_table("t"), layers.gold_table("p")
+    for name, parts in ((table, []), (parted, ["y"])):
+        publish_table(frame(spark, [(1, "a", day(1), 2026)]), name, parts)
+        publish_table(frame(spark, [(2, "b", day(1), 2027)]).withColumn("more", F.lit(1)), name, parts)
+        assert rows(spark.table(name), "id", "more", "y") == [(2, 1, 2027)]
+
+
+def test_columns_without_nulls_may_get_some_later(spark, layers, rows):
+    table = layers.gold_table("t")
+    publish_table(spark.range(2).withColumn("flag", F.lit(True)), table)
+    publish_table(spark.sql("select 5L as id, cast(null as boolean) as flag"), table)
+    assert spark.table(table).filter("flag is null").count() == 1
+
+
 def test_broken_expectation_leaves_the_table_alone(spark, layers, rows):
     table = layers.gold_table("t")
     good = frame(spark, [(1, "a", day(1), 2026)])
