@@ -166,8 +166,11 @@ def table_partitions(spark: SparkSession, table: str) -> set[PartitionKey]:
 
 
 def partition_keys(df: DataFrame, partition_by: Sequence[str]) -> set[PartitionKey]:
-    """Partitions the rows belong to: at most as many values as there are partitions."""
-    text = df.select(*[F.col(quoted(c)).cast("string") for c in partition_by])
+    """Partitions the rows belong to: at most as many values as there are partitions.
+
+    Spark writes an empty text to the NULL partition, so it counts as NULL here.
+    """
+    text = df.select(*[F.nullif(F.col(quoted(c)).cast("string"), F.lit("")) for c in partition_by])
     return {tuple(row) for row in text.distinct().collect()}
 
 

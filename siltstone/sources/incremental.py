@@ -27,10 +27,12 @@ class JdbcSource:
     options: Mapping[str, str]
     split_column: str | None = None
     num_partitions: int = 64
+    overlap: bool = False
 
     def read(self, spark: SparkSession, spec: TableSpec, watermark: str) -> DataFrame:
         options = {**self.options, "dbtable": f"{spec.schema_name}.{spec.name}"}
-        rows = changed_since(spark.read.format("jdbc").options(**options).load(), spec, watermark)
+        table = spark.read.format("jdbc").options(**options).load()
+        rows = changed_since(table, spec, watermark, self.overlap)
         if not self.split_column:
             return rows
         column = F.col(quoted(self.split_column))
@@ -44,7 +46,7 @@ class JdbcSource:
             "numPartitions": str(self.num_partitions),
         }
         split = spark.read.format("jdbc").options(**options, **bounds).load()
-        return changed_since(split, spec, watermark)
+        return changed_since(split, spec, watermark, self.overlap)
 
 
 @dataclass(frozen=True)
@@ -53,11 +55,11 @@ class ParquetSource:
 
     root: str
     suffix: str = ""
+    overlap: bool = False
 
     def read(self, spark: SparkSession, spec: TableSpec, watermark: str) -> DataFrame:
-        return changed_since(
-            spark.read.parquet(f"{self.root}/{spec.name}{self.suffix}"), spec, watermark
-        )
+        table = spark.read.parquet(f"{self.root}/{spec.name}{self.suffix}")
+        return changed_since(table, spec, watermark, self.overlap)
 
 
 def changed_since(

@@ -18,7 +18,13 @@ from siltstone.plans.control import (
 )
 from siltstone.plans.listening import TABLES
 from siltstone.plans.runs import extract_all, extract_to_bronze
-from siltstone.sources.incremental import ParquetSource, changed_since, landing_path, measure
+from siltstone.sources.incremental import (
+    JdbcSource,
+    ParquetSource,
+    changed_since,
+    landing_path,
+    measure,
+)
 from siltstone.specs import ColumnRule, Layers, TableSpec, load_table_specs, table_specs
 
 OLD, NEW, NOW = datetime(2026, 1, 1), datetime(2026, 2, 1), datetime(2026, 3, 1)
@@ -105,6 +111,38 @@ def test_date_watermark(spark):
     assert tuple(measure(df, spec).first()) == (datetime(2026, 3, 2), 2)
 
 
+def test_relational_source_is_read_in_ranges_of_the_changed_rows(spark):
+    """The database is stood in for by a frame; only the options handed to Spark are checked."""
+    data = spark.createDataFrame([(1, OLD), (5, NEW), (9, NOW)], "id int, changed timestamp")
+    asked = []
+
+    class Reader:
+        read = property(lambda self: self)
+
+        def format(self, kind):
+            assert kind == "jdbc"
+            return self
+
+        def options(self, **options):
+            asked.append(options)
+            return self
+
+        def load(self):
+            return data
+
+    plain = JdbcSource({"url": "u"})
+    assert plain.read(Reader(), SPEC, "2026-01-01 00:00:00").count() == 2
+    assert asked == [{"url": "u", "dbtable": "dbo.Items"}]
+    split = JdbcSource({"url": "u"}, split_column="id", num_partitions=8, overlap=True)
+    assert split.read(Reader(), SPEC, "2026-02-01 00:00:00").count() == 2
+    assert asked[-1] == {
+        "url": "u", "dbtable": "dbo.Items", "partitionColumn": "id",
+        "lowerBound": "5", "upperBound": "9", "numPartitions": "8",
+    }
+    assert split.read(Reader(), SPEC, "2027-01-01 00:00:00").count() == 0
+    assert "partitionColumn" not in asked[-1]
+
+
 def test_landing_path():
     assert landing_path("/b/Items", SPEC, datetime(2026, 3, 1, 1, 2, 3)) == "/b/Items/items_20260301010203.parquet"
 

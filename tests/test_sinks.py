@@ -125,6 +125,15 @@ def test_partition_values_with_odd_characters(spark, layers, rows):
     ]
 
 
+def test_empty_text_lands_in_the_null_partition(spark, layers, rows):
+    table = layers.gold_table("t")
+    ddl = "id int, p string"
+    upsert_table(spark.createDataFrame([(1, ""), (2, None), (3, "x")], ddl), table, ["id"], ["p"])
+    batch = spark.createDataFrame([(1, "x"), (4, "")], ddl)
+    assert upsert_table(batch, table, ["id"], ["p"]) == Merged(1, 1)
+    assert rows(spark.table(table)) == [(1, "x"), (2, None), (3, "x"), (4, None)]
+
+
 def test_partition_filter_prunes(spark, layers):
     table = layers.gold_table("t")
     publish_table(
