@@ -74,6 +74,9 @@ fk_checks AS (
          CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, 'orphan_track_ids=' || count(*) FROM orphan_tracks)
 """
 
+ALL_CHECKS = """
+SELECT * FROM pk_nulls UNION ALL SELECT * FROM row_drift UNION ALL SELECT * FROM fk_checks"""
+
 # Without earlier runs every user and artist is new in the full run.
 FRESH = f"""
 , fresh_users AS (
@@ -222,10 +225,8 @@ LEFT JOIN tracks AS dimtrack ON factstream.track_id = dimtrack.track_id"""),
     "row_drift": with_relations(CHECKED + "SELECT * FROM row_drift"),
     "fk_checks": with_relations(CHECKED + "SELECT * FROM fk_checks"),
     "fk_orphans": with_relations(CHECKED + "SELECT user_id AS orphan_key FROM orphan_users"),
-    "quality_log": with_relations(
-        CHECKED
-        + "SELECT * FROM pk_nulls UNION ALL SELECT * FROM row_drift UNION ALL SELECT * FROM fk_checks"
-    ),
+    "quality_log": with_relations(CHECKED + ALL_CHECKS),
+    "quality_run": with_relations(CHECKED + ALL_CHECKS),
     "run_log_listing": RUN_LOG + " ORDER BY event_timestamp DESC",
     "run_log_recent": RUN_LOG + " ORDER BY event_timestamp DESC, table_name, batch_id LIMIT 20",
     "failed_run_windows": f"SELECT * FROM ({WINDOWS}) WHERE failed_runs > 1",

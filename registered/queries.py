@@ -37,7 +37,7 @@ from siltstone.sinks.logs import failure_windows, newest_first, recent_runs
 from siltstone.sinks.publish import publish_table
 from siltstone.sinks.upsert import upsert_table
 from siltstone.sources.incremental import ParquetSource, changed_since, land, measure
-from siltstone.specs import Layers
+from siltstone.specs import Layers, TableSpec
 from siltstone.streaming.ingest import ingest_stream
 from siltstone.streaming.schema import read_pinned
 
@@ -459,6 +459,24 @@ def quality_log(t: Tables) -> DataFrame:
     )
 
 
+@registered
+def quality_run(t: Tables) -> DataFrame:
+    """What a run over silver tables logs before it fails on the faults."""
+    layers = own_layers(t)
+    specs = [TableSpec(name, keys[0], keys, keys[0]) for name, keys in CHECKED_KEYS.items()]
+    control.bootstrap(t.spark, layers, specs)
+    for name, df in _checked(t).items():
+        publish_table(df, layers.silver_table(name))
+    sizes = {row["table_name"]: row["rows"] for row in _previous(t).collect()}
+    control.record_table_sizes(t.spark, layers, sizes)
+    try:
+        runs.run_quality(t.spark, layers, specs, FOREIGN_KEYS)
+        raise AssertionError("the faults were not noticed")
+    except runs.QualityError:
+        log = t.spark.table(layers.metadata_table(control.QUALITY_LOG))
+    return log.drop("check_timestamp")
+
+
 @registered
 def run_log_listing(t: Tables) -> DataFrame:
     return newest_first(t.run_log(), "event_timestamp")
