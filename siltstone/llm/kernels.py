@@ -53,7 +53,7 @@ class Rolling:
     def windows(self, width: int) -> np.ndarray:
         """Fingerprints of all spans of ``width`` bytes, by start."""
         raw = (self._sums[width:] - self._sums[:-width]) * self._inverse[: len(self._sums) - width]
-        return mix(raw + np.uint64(width) * np.uint64(0xD6E8FEB86659FD93))
+        return mix(raw + np.uint64(width * 0xD6E8FEB86659FD93 % (1 << 64)))
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:

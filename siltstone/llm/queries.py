@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.llm.bbit_minhash import near_duplicates
 from siltstone.llm.frames import table
+from siltstone.llm.suffix_levels import drop_repeated_strings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +20,18 @@ def registered(build: Query) -> Query:
     return build
 
 
+@registered
+def op8_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = drop_repeated_strings(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @registered
 def op9_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
