@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.bbit_minhash import near_duplicates
 from siltstone.llm.frames import table
+from siltstone.llm.packing import pack
+from siltstone.llm.repetition import quality
 from siltstone.llm.suffix_levels import drop_repeated_strings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +22,14 @@ def registered(build: Query) -> Query:
     return build
 
 
+@registered
+def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @registered
 def op8_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = drop_repeated_strings(table(spark, sf_dir, "documents"))
@@ -35,3 +45,8 @@ def op8_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op10_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
