@@ -2,4 +2,16 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc_source": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
+}

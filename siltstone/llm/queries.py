@@ -12,6 +12,8 @@ from siltstone.llm.frames import table
 from siltstone.llm.packing import pack
 from siltstone.llm.repetition import quality
 from siltstone.llm.suffix_levels import drop_repeated_strings
+from siltstone.llm.warc import archived_pages, page_records, write_archives
+from siltstone.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +32,13 @@ def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op7_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    write_archives(page_records(table(spark, sf_dir, "pages")), path)
+    return archived_pages(spark, path)
+
+
 @registered
 def op8_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = drop_repeated_strings(table(spark, sf_dir, "documents"))
