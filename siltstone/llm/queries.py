@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.bbit_minhash import near_duplicates
+from siltstone.llm.embedding_dedup import similar_vectors
 from siltstone.llm.frames import table
 from siltstone.llm.packing import pack
 from siltstone.llm.repetition import quality
@@ -24,6 +25,11 @@ def registered(build: Query) -> Query:
     return build
 
 
+@registered
+def op1_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @registered
 def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"))
