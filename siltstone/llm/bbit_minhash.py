@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.frames import components, spread
-from siltstone.llm.kernels import Rolling, lower_ascii, mix, slices, text_bytes, word_spans
+from siltstone.llm.kernels import Rolling, lower_ascii, mix, ragged, slices, text_bytes, word_spans
 from siltstone.session import stored
 
 SLICE = 1 << 20
@@ -117,7 +117,8 @@ def _signatures(near: Near):
 def _equal_entries(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
     """Equal entries of packed signatures, rows of ``a`` against rows of ``b`` (broadcast)."""
     differ = np.unpackbits(a ^ b, axis=-1)
-    return differ.shape[-1] // bits - differ.reshape(*differ.shape[:-1], -1, bits).any(axis=-1).sum(axis=-1)
+    entries = differ.shape[-1] // bits
+    return entries - differ.reshape(*differ.shape[:-1], entries, bits).any(axis=-1).sum(axis=-1)
 
 
 def _estimated(near: Near):
@@ -134,29 +135,50 @@ def _estimated(near: Near):
     return run
 
 
-def _tile_pairs(near: Near):
-    """Pairs of a tile pair that are in different components and estimated similar."""
+def _tile_links(near: Near):
+    """Links between components inside a tile pair: at most one per joined component.
 
-    def group(rows: list[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    Members are compared across components only. A pair is left to the first band that holds both, the signature
+    estimate drops most others, and the full sets decide: with the set of one member marked in
+    the tile's vocabulary, a partner's common part is a sum over its own set.
+    """
+
+    def links(rows: list[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
         t = pa.Table.from_batches(rows)
-        left = t.column("left").to_numpy()
-        doc, component = t.column("doc").to_numpy(), t.column("component").to_numpy()
+        left, doc = t.column("left").to_numpy(), t.column("doc").to_numpy()
+        component = t.column("component").to_numpy().copy()
         signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(len(doc), -1)
-        same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
+        buckets = t.column("buckets").combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
+        band, same = t.column("band")[0].as_py(), t.column("i")[0].as_py() == t.column("j")[0].as_py()
         x = np.flatnonzero(left)
         y = x if same else np.flatnonzero(~left)
-        for at in x:
-            other = y[(component[y] != component[at]) & ((doc[y] > doc[at]) if same else True)]
-            for k in range(0, len(other), 4096):
-                some = other[k : k + 4096]
-                hit = some[_equal_entries(signature[at][None], signature[some], near.bits) >= near.least_equal]
-                yield np.minimum(doc[at], doc[hit]), np.maximum(doc[at], doc[hit])
+        if not len(y) or component.min() == component.max():
+            return
+        held = list(_sets(t.column("text").combine_chunks(), near.width))
+        size = np.array([len(h) for h in held])
+        vocabulary, index = np.unique(np.concatenate(held), return_inverse=True)
+        first, mark = np.cumsum(size) - size, np.zeros(len(vocabulary), bool)
+        for k, at in enumerate(x):
+            other = y[k + 1 :] if same else y
+            other = other[component[other] != component[at]]
+            other = other[(buckets[other, :band] != buckets[at, :band]).all(axis=1)]
+            other = other[_equal_entries(signature[at][None], signature[other], near.bits) >= near.least_equal]
+            if not len(other):
+                continue
+            own = index[first[at] : first[at] + size[at]]
+            mark[own] = True
+            common = np.add.reduceat(mark[index[ragged(first[other], size[other])]], np.cumsum(size[other]) - size[other], dtype=np.int64)
+            mark[own] = False
+            for hit in other[100 * common >= near.percent * (size[at] + size[other] - common)]:
+                if component[hit] != component[at]:
+                    yield int(doc[at]), int(doc[hit])
+                    component[component == component[hit]] = component[at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_groups(batches, ("bucket", "i", "j")):
-            for a, b in group(rows):
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            if found := list(links(rows)):
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -183,19 +205,20 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> I
         yield held
 
 
+def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+    data, bounds = text_bytes(column)
+    for i, j in slices(bounds, SLICE):
+        for hashes, _, _ in shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], width):
+            yield hashes
+
+
 def _confirmed(near: Near):
     """Pairs whose full sets are similar enough."""
 
-    def sets(column: pa.Array) -> Iterator[np.ndarray]:
-        data, bounds = text_bytes(column)
-        for i, j in slices(bounds, SLICE):
-            for hashes, _, _ in shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], near.width):
-                yield hashes
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(sets(batch.column("text_a")), sets(batch.column("text_b")), strict=True):
+            for x, y in zip(*(_sets(batch.column(c), near.width) for c in ("text_a", "text_b")), strict=True):
                 common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep.append(100 * common >= near.percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -235,7 +258,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         "representatives",
     )
     # A node that has several texts has several rows here; its signatures are told apart by h1.
-    members = reps.select("doc", "h1", F.explode("buckets").alias("bucket"))
+    members = reps.select("doc", "h1", F.posexplode("buckets").alias("band", "bucket"))
     shared = stored(
         members.groupBy("bucket").agg(F.min(F.struct("doc", "h1")).alias("first"), F.count(F.lit(1)).alias("size")).where("size > 1"),
         "buckets",
@@ -262,7 +285,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
 
     member = members.join(shared.where("size > 2"), "bucket").join(
         placed.withColumnRenamed("node", "doc"), "doc", "left"
-    ).select("bucket", "size", "doc", "h1", F.coalesce("component", "doc").alias("component"))
+    ).select("bucket", "band", "size", "doc", "h1", F.coalesce("component", "doc").alias("component"))
     open_buckets = (
         member.groupBy("bucket", "size").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
         .where("lo <> hi").select("bucket", F.ceil(F.col("size") / TILE).alias("tiles"))
@@ -270,18 +293,18 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     tile = F.pmod(F.xxhash64("doc"), F.col("tiles"))
     tiled = (
         member.join(open_buckets, "bucket")
-        .join(named.select("k.doc", "k.h1", "signature"), ["doc", "h1"])
+        .join(reps.select("doc", "h1", "signature", "buckets"), ["doc", "h1"])
+        .join(texts, "doc")
         .withColumn("tile", tile)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .select(
             "bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-            (F.col("tile") <= F.col("other")).alias("left"), "doc", "component", "signature",
+            (F.col("tile") <= F.col("other")).alias("left"), "doc", "component", "band", "signature", "buckets", "text",
         )
         .repartition(spread(spark), "bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j")
     )
-    more = stored(tiled.mapInArrow(_tile_pairs(near), "a long, b long").distinct(), "tile_candidates")
-    more = confirmed_links(more.join(stars, ["a", "b"], "left_anti"), texts, near)
+    more = tiled.mapInArrow(_tile_links(near), "a long, b long")
     label = lambda c, r: placed.select(F.col("node").alias(c), F.col("component").alias(r))
     more = stored(
         more.join(label("a", "ca"), "a", "left").join(label("b", "cb"), "b", "left")
