@@ -37,22 +37,23 @@ class Strings:
     """``width``: shortest removed string; ``head``: bytes that order the suffixes; ``batches`` per index."""
 
     width: int = 50
-    head: int = 24
+    head: int = 20
     batches: int = 8
 
     def __post_init__(self):
-        if not 0 < self.head <= self.width:
-            raise ValueError("a head has at least one byte and at most the width")
+        if not 0 < self.head <= self.width < 1 << 15:
+            raise ValueError("a head has at least one byte and at most the width, a width less than 32768 bytes")
 
 
 @dataclass
 class Samples:
-    """Indexed positions: document, number in it, first and last window start, offset of the head, fingerprints."""
+    """Indexed positions: document, number in it, first and last window start, distance to the head, fingerprints."""
 
     doc: np.ndarray
     ordinal: np.ndarray
     start: np.ndarray
     last: np.ndarray
+    shift: np.ndarray
     head: np.ndarray
     whole: np.ndarray | None
 
@@ -79,7 +80,7 @@ def _piece(data: np.ndarray, bounds: np.ndarray, s: Strings, whole: bool) -> Sam
     doc = np.searchsorted(bounds, start, "right") - 1
     ordinal = np.arange(len(start)) - np.searchsorted(doc, doc)
     return Samples(
-        doc, ordinal, start - bounds[doc], last - bounds[doc], heads[chosen[start]],
+        doc, ordinal, start - bounds[doc], last - bounds[doc], chosen[start] - start, heads[chosen[start]],
         rolling.spans(start, last + s.width) if whole else None,
     )
 
@@ -137,6 +138,17 @@ def packed_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=NAMES)
 
 
+def short(values: np.ndarray) -> bytes:
+    """The low 48 bits of fingerprints. Equal ones of different heads only send surroundings in vain."""
+    return values.astype("<u4").tobytes() + (values >> np.uint64(32)).astype("<u2").tobytes()
+
+
+def unshort(data: bytes) -> np.ndarray:
+    n = len(data) // 6
+    low, high = np.frombuffer(data, "<u4", n), np.frombuffer(data, "<u2", n, 4 * n)
+    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+
+
 def doc_part(doc: np.ndarray, parts: int) -> np.ndarray:
     return (mix(doc.astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
 
@@ -163,6 +175,7 @@ def _heads(s: Strings, parts: int):
             if not found:
                 continue
             x = joined(found)
+            x.head &= np.uint64((1 << 48) - 1)
             doc = batch.column("pos").to_numpy()[x.doc]
             order = np.lexsort((doc, x.head))
             x, doc = x.take(order), doc[order]
@@ -181,7 +194,7 @@ def _heads(s: Strings, parts: int):
             head, doc, ordinal = x.head[keep], doc[keep], x.ordinal[keep]
             rows += dealt(
                 (head % np.uint64(parts)).astype(np.int32), 0,
-                [lambda i: head[i].tobytes(), lambda i: delta(doc[i]), lambda i: delta(ordinal[i], np.int32)],
+                [lambda i: short(head[i]), lambda i: delta(doc[i]), lambda i: delta(ordinal[i], np.int32)],
             )
             yield packed_rows(rows)
 
@@ -244,7 +257,7 @@ def _scan(cuts: list[int], parts: int):
             if passed.num_rows:
                 yield passed
             for a, b, c in zip(*(batch.filter(pa.array(kind == 0)).column(k) for k in "abc"), strict=True):
-                head.append(np.frombuffer(a.as_buffer(), np.uint64))
+                head.append(unshort(a.as_buffer()))
                 doc.append(undelta(b.as_buffer()))
                 ordinal.append(undelta(c.as_buffer(), np.int32))
         if head:
@@ -298,15 +311,16 @@ def _surroundings(s: Strings, parts: int):
             copied = pos != pos[first]
             rows = list(_covered(pos[copied], text[copied], x.start[copied], x.last[copied] + s.width, parts))
             keep = np.flatnonzero(~copied)
+            keep = keep[np.lexsort((x.start[keep], text[keep], pos[keep]))]
             x, pos, text = x.take(keep), pos[keep], text[keep]
             begin, length = bounds[x.doc] + x.start, x.last - x.start + s.width
             rows += dealt(
                 (x.head % np.uint64(parts)).astype(np.int32), 0,
                 [
-                    lambda i: np.concatenate([x.head[i], x.whole[i]]).tobytes(),
-                    lambda i: np.concatenate([pos[i], text[i]]).tobytes(),
-                    lambda i: x.start[i].astype(np.int64).tobytes(),
-                    lambda i: length[i].astype(np.int64).tobytes(),
+                    lambda i: delta(pos[i]),
+                    lambda i: delta(text[i]),
+                    lambda i: delta(x.start[i]),
+                    lambda i: np.concatenate([x.shift[i], length[i]]).astype(np.uint16).tobytes(),
                     lambda i: data[ragged(begin[i], length[i])].tobytes(),
                 ],
             )
@@ -324,7 +338,7 @@ def _compare(s: Strings, parts: int):
     """Covered ranges: surroundings, and single windows, that an earlier document has too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = [[] for _ in range(7)]
+        held: list[list[np.ndarray]] = [[] for _ in range(6)]
         for batch in batches:
             kind = batch.column("kind").to_numpy()
             passed = batch.filter(pa.array(kind == 1))
@@ -332,15 +346,16 @@ def _compare(s: Strings, parts: int):
                 yield passed
             for row in zip(*(batch.filter(pa.array(kind == 0)).column(k) for k in "abcde"), strict=True):
                 a, b, c, d, e = (v.as_buffer() for v in row)
-                for at, x in enumerate((
-                    *np.frombuffer(a, np.uint64).reshape(2, -1), *np.frombuffer(b, np.int64).reshape(2, -1),
-                    np.frombuffer(c, np.int64), np.frombuffer(d, np.int64), np.frombuffer(e, np.uint8),
-                )):
-                    held[at].append(x)
+                for own, x in zip(held, (
+                    undelta(a), undelta(b), undelta(c), *np.frombuffer(d, np.uint16).astype(np.int64).reshape(2, -1),
+                    np.frombuffer(e, np.uint8),
+                ), strict=True):
+                    own.append(x)
         if not held[0]:
             return
-        head, whole, pos, text, start, length, data = map(np.concatenate, held)
+        pos, text, start, shift, length, data = map(np.concatenate, held)
         begin = np.cumsum(length) - length
+        head, whole = _fingerprints(data, begin, length, shift, s.head)
         order = np.lexsort((pos, whole, head))
         head, whole, pos, text, start, length, begin = (
             v[order] for v in (head, whole, pos, text, start, length, begin)
@@ -361,6 +376,17 @@ def _compare(s: Strings, parts: int):
     return run
 
 
+def _fingerprints(data, begin, length, shift, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the head and of the whole of each entry of ``data``."""
+    head, whole = np.empty(len(begin), np.uint64), np.empty(len(begin), np.uint64)
+    bounds = np.append(begin, len(data))
+    for i, j in slices(bounds, SLICE):
+        rolling, at = Rolling(data[bounds[i] : bounds[j]]), begin[i:j] - bounds[i]
+        head[i:j] = rolling.spans(at + shift[i:j], at + shift[i:j] + width)
+        whole[i:j] = rolling.spans(at, at + length[i:j])
+    return head, whole
+
+
 def _runs(at: np.ndarray, head: np.ndarray, size: int) -> Iterator[np.ndarray]:
     """Slices of about ``size`` entries that keep the entries of a head together."""
     starts = np.flatnonzero(first_of_runs(head[at]))
@@ -472,7 +498,7 @@ def drop_repeated_strings(docs: DataFrame, strings: Strings = Strings()) -> Data
     ordinals = repeated.mapInArrow(_per_document, "pos long, ordinals binary")
     # Both joins take the texts from one exchange.
     texts = docs.withColumn("text_hash", F.xxhash64("text"))
-    wide = texts.join(ordinals, "pos").select("pos", "text_hash", "text", "ordinals")
+    wide = texts.join(ordinals, "pos")
     around = by_part(wide.mapInArrow(_surroundings(strings, parts), PACKED))
     covered = by_part(around.mapInArrow(_compare(strings, parts), PACKED))
     ranges = covered.mapInArrow(_ranges, "pos long, ranges binary")
