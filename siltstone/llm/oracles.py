@@ -3,6 +3,39 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {
+    # Runs are compared by their whole text.
+    "op4_line_runs": r"""
+        WITH split AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line
+            FROM documents
+        ), worded AS (
+            SELECT doc_id, line, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words
+            FROM split WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+        ), numbered AS (
+            SELECT *, row_number() OVER w AS n, sum(words) OVER w AS upto FROM worded
+            WINDOW w AS (PARTITION BY doc_id ORDER BY line)
+        ), ends AS (
+            SELECT a.doc_id, a.n AS first, min(b.n) AS last
+            FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.n BETWEEN a.n AND a.n + 9
+            WHERE b.upto - a.upto + a.words >= 10 GROUP BY ALL
+            UNION
+            SELECT b.doc_id, max(a.n) AS first, b.n AS last
+            FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND a.n BETWEEN b.n - 9 AND b.n
+            WHERE b.upto - a.upto + a.words >= 10 GROUP BY b.doc_id, b.n
+        ), runs AS (
+            SELECT e.doc_id, e.first, e.last, string_agg(n.x, chr(10) ORDER BY n.n) AS run
+            FROM ends e JOIN numbered n ON e.doc_id = n.doc_id AND n.n BETWEEN e.first AND e.last GROUP BY ALL
+        ), later AS (
+            SELECT * FROM runs
+            QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, first) > 1
+        ), gone AS (
+            SELECT DISTINCT n.doc_id, n.line FROM numbered n JOIN later l ON n.doc_id = l.doc_id AND n.n BETWEEN l.first AND l.last
+        )
+        SELECT s.doc_id, count(g.line) AS removed_lines,
+               md5(coalesce(string_agg(s.x, chr(10) ORDER BY s.line) FILTER (WHERE g.line IS NULL), '')) AS text_md5
+        FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.line = g.line GROUP BY s.doc_id
+    """,
     "op7_warc_source": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.bbit_minhash import near_duplicates
 from siltstone.llm.embedding_dedup import similar_vectors
 from siltstone.llm.frames import table
+from siltstone.llm.line_runs import drop_repeated_lines
 from siltstone.llm.packing import pack
 from siltstone.llm.repetition import quality
 from siltstone.llm.suffix_levels import drop_repeated_strings
@@ -38,6 +39,12 @@ def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "removed_lines", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
 @registered
 def op7_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
