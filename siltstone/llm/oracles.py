@@ -36,6 +36,25 @@ ORACLES: dict[str, str] = {
                md5(coalesce(string_agg(s.x, chr(10) ORDER BY s.line) FILTER (WHERE g.line IS NULL), '')) AS text_md5
         FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.line = g.line GROUP BY s.doc_id
     """,
+    "op5_poisson_mixing": """
+        WITH sizes AS (SELECT source, sum(length(coalesce(text, ''))) AS size FROM documents GROUP BY source),
+        rates AS (
+            SELECT source, (SELECT sum(size) FROM sizes) / (SELECT count(*) FROM sizes WHERE size > 0) / size AS rate
+            FROM sizes WHERE size > 0
+        ), terms AS (
+            SELECT source, k, exp(-rate + CASE WHEN k = 0 THEN 0 ELSE k * ln(rate) END - lgamma(k + 1)) AS p
+            FROM rates, range(0, 300) AS r(k)
+        ), steps AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS upto FROM terms),
+        drawn AS (
+            SELECT doc_id, source, text,
+                   ('0x' || substr(md5('17:0:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0 AS u
+            FROM documents
+        ), counted AS (
+            SELECT d.doc_id, d.source, d.text, min(s.k) AS copies
+            FROM drawn d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source AND s.upto > d.u GROUP BY ALL
+        )
+        SELECT doc_id, source, unnest(range(0, copies)) AS copy, md5(coalesce(text, '')) AS text_md5 FROM counted
+    """,
     "op7_warc_source": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

@@ -11,6 +11,7 @@ from siltstone.llm.bbit_minhash import near_duplicates
 from siltstone.llm.embedding_dedup import similar_vectors
 from siltstone.llm.frames import table
 from siltstone.llm.line_runs import drop_repeated_lines
+from siltstone.llm.mixing import mix_sources
 from siltstone.llm.packing import pack
 from siltstone.llm.repetition import quality
 from siltstone.llm.suffix_levels import drop_repeated_strings
@@ -45,6 +46,12 @@ def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "removed_lines", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+@registered
+def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "copy", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
 @registered
 def op7_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
