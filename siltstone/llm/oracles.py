@@ -55,6 +55,26 @@ ORACLES: dict[str, str] = {
         )
         SELECT doc_id, source, unnest(range(0, copies)) AS copy, md5(coalesce(text, '')) AS text_md5 FROM counted
     """,
+    # The lengths follow from the template: marks of a turn, and two characters for each escape.
+    "op6_chat_tree": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), sized AS (
+            SELECT *, length(role) + length(text) + 24
+                + length(text) - length(replace(text, '\', ''))
+                + 2 * len(regexp_extract_all(text, '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<\|startoftext\|>|</?s>|\[/?INST\]|<</?SYS>>'))
+                AS chars
+            FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars
+        FROM sized GROUP BY conv_id
+    """,
     "op7_warc_source": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

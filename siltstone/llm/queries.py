@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.bbit_minhash import near_duplicates
+from siltstone.llm.chat_tree import format_chats, read_chats
 from siltstone.llm.embedding_dedup import similar_vectors
 from siltstone.llm.frames import table
 from siltstone.llm.line_runs import drop_repeated_lines
@@ -16,7 +17,7 @@ from siltstone.llm.packing import pack
 from siltstone.llm.repetition import quality
 from siltstone.llm.suffix_levels import drop_repeated_strings
 from siltstone.llm.warc import archived_pages, page_records, write_archives
-from siltstone.session import fresh_dir
+from siltstone.session import fresh_dir, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +53,14 @@ def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+@registered
+def op6_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return read_chats(stored(format_chats(turns.unionByName(more)), "chats"))
+
+
 @registered
 def op7_warc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
