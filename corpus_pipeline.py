@@ -3,11 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from siltstone.llm.bbit_minhash import near_duplicates
+from siltstone.llm.frames import table
+from siltstone.llm.line_runs import WORD, drop_repeated_lines
+from siltstone.llm.mixing import mix_sources
+from siltstone.llm.packing import pack
+from siltstone.llm.repetition import good_documents
+from siltstone.session import stored, tune
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return good_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents that consist of nothing else."""
+    columns = docs.columns
+    cut = drop_repeated_lines(docs)
+    changed = F.col("removed_lines") > 0
+    left = cut.where(~changed | F.col("text").rlike(WORD))
+    return left.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, that with the smallest id."""
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every source gets the same share of the text, which stays as much as it is."""
+    return mix_sources(docs).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences; a repeated document is packed as often as it is there."""
+    return pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing to target weights", mixing),
+    ("packing", packing),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written as Parquet and read back."""
-    raise NotImplementedError
+    docs = table(tune(spark), sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

@@ -11,6 +11,7 @@ from siltstone.llm.bbit_minhash import near_duplicates
 from siltstone.llm.chat_tree import format_chats, read_chats
 from siltstone.llm.embedding_dedup import similar_vectors
 from siltstone.llm.frames import table
+from siltstone.llm.licenses import scan_licences
 from siltstone.llm.line_runs import drop_repeated_lines
 from siltstone.llm.mixing import mix_sources
 from siltstone.llm.packing import pack
@@ -33,6 +34,11 @@ def op1_pca_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@registered
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"))
