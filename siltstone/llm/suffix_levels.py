@@ -16,6 +16,7 @@ fingerprint of the head and one of the whole.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -111,12 +112,23 @@ def joined(parts: list[Samples]) -> Samples:
     return Samples(*(None if c[0] is None else np.concatenate(c) for c in columns))
 
 
+def squeeze(data: np.ndarray) -> bytes:
+    """Bytes of an array, compressed better than a shuffle does."""
+    raw = data.tobytes()
+    return struct.pack("<Q", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: pa.Buffer, kind: type) -> np.ndarray:
+    (size,) = struct.unpack_from("<Q", data)
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), kind)
+
+
 def delta(values: np.ndarray, kind: type = np.int64) -> bytes:
-    return np.diff(values, prepend=values.dtype.type(0)).astype(kind).tobytes()
+    return squeeze(np.diff(values, prepend=values.dtype.type(0)).astype(kind))
 
 
-def undelta(data: bytes, kind: type = np.int64) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, kind), dtype=np.int64)
+def undelta(data: pa.Buffer, kind: type = np.int64) -> np.ndarray:
+    return np.cumsum(unsqueeze(data, kind), dtype=np.int64)
 
 
 def dealt(part: np.ndarray, kind: int, columns: list) -> Iterator[tuple]:
@@ -320,8 +332,8 @@ def _surroundings(s: Strings, parts: int):
                     lambda i: delta(pos[i]),
                     lambda i: delta(text[i]),
                     lambda i: delta(x.start[i]),
-                    lambda i: np.concatenate([x.shift[i], length[i]]).astype(np.uint16).tobytes(),
-                    lambda i: data[ragged(begin[i], length[i])].tobytes(),
+                    lambda i: squeeze(np.concatenate([x.shift[i], length[i]]).astype(np.uint16)),
+                    lambda i: squeeze(data[ragged(begin[i], length[i])]),
                 ],
             )
             yield packed_rows(rows)
@@ -347,8 +359,8 @@ def _compare(s: Strings, parts: int):
             for row in zip(*(batch.filter(pa.array(kind == 0)).column(k) for k in "abcde"), strict=True):
                 a, b, c, d, e = (v.as_buffer() for v in row)
                 for own, x in zip(held, (
-                    undelta(a), undelta(b), undelta(c), *np.frombuffer(d, np.uint16).astype(np.int64).reshape(2, -1),
-                    np.frombuffer(e, np.uint8),
+                    undelta(a), undelta(b), undelta(c), *unsqueeze(d, np.uint16).astype(np.int64).reshape(2, -1),
+                    unsqueeze(e, np.uint8),
                 ), strict=True):
                     own.append(x)
         if not held[0]:
