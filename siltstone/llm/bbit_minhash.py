@@ -319,9 +319,8 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         .join(joined.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
         .select(F.col("doc").alias("rep"), F.coalesce("c2", "c1").alias("component_id"))
     )
-    # A node with several texts may have several representatives, which are then linked as well.
     chosen = signed.join(copies.withColumnRenamed("doc", "rep"), ["h1", "h2"], "left").join(final, "rep", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return chosen.select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.coalesce("component_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
+    )
