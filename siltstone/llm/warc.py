@@ -390,7 +390,7 @@ def archived_pages(spark: SparkSession, path: str) -> DataFrame:
 
     Sizes and digests come from the decoded payloads; those of a revisit from the response it refers to.
     """
-    page = lambda c: F.substring_index(c, ":", -1).cast("long")
+    page = lambda c: F.substring_index(c, ":", -1).try_cast("long")
     responses = read_archives(spark, path).where("record_type = 'response'").select(
         "record_type", "record_id", "refers_to", F.length("payload").cast("long").alias("size"),
         F.sha2("payload", 256).alias("digest"),
