@@ -13,6 +13,8 @@ runs have at most ``least_words`` lines, which bounds the doublings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +74,21 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
     return numbers.groupBy("pos", "text_hash").agg(F.collect_set("number").alias("gone"))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where inner functions refer to it for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """The lines joined again, without those that are numbered in ``gone`` among the lines with words."""
+    kept = lambda x, with_words: F.array_except(
+        F.sequence(F.lit(0), F.size(x) - 1), F.transform(gone, lambda n: with_words[n])
+    )
+    numbers = lambda x: F.array_compact(F.transform(x, lambda line, i: F.when(line.rlike(WORD), i)))
+    joined = lambda x, left: F.array_join(F.transform(left, lambda i: x[i]), "\n")
+    return _let(lines, lambda x: _let(numbers(x), lambda w: _let(kept(x, w), lambda left: joined(x, left))))
+
+
 def drop_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """The rows of ``docs`` with all their columns, the lines of later copies deleted from ``text``.
 
@@ -87,11 +104,7 @@ def drop_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
         F.col("pos").alias("pos_"), F.col("text_hash").alias("text_hash_"), F.col("gone").alias("gone_")
     )
     wide = docs.withColumns({"pos_": _position(), "text_hash_": F.xxhash64("text")}).join(gone, ["pos_", "text_hash_"], "left")
-    lines = F.split("text", "\n", -1)
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    with_words = F.filter(numbers, lambda i: lines[i].rlike(WORD))
-    left = F.array_except(numbers, F.transform("gone_", lambda n: with_words[n]))
-    text = F.when(F.col("gone_").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda i: lines[i]), "\n"))
+    text = F.when(F.col("gone_").isNull(), F.col("text")).otherwise(_without(F.split("text", "\n", -1), F.col("gone_")))
     removed = F.coalesce(F.size("gone_"), F.lit(0)).cast("long")
     wide = wide.withColumn("removed_lines", F.when(F.col("gone_").isNull(), 0).otherwise(removed).cast("long"))
     return wide.withColumn("text", text).select(*docs.columns, "removed_lines")
