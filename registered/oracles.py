@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registered.relations import RUN_TS, with_relations
+from registered.relations import FIRST_RUN, RUN_TS, with_relations
 
 USER_COLUMNS = (
     "surrogate_user_key, user_id, user_name, country, subscription_type, source_start_date, "
@@ -106,17 +106,17 @@ ORACLES: dict[str, str] = {
     "extract_watermark": """
 SELECT max(o_orderdate) AS max_cdc, count(*) AS row_count
 FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'""",
-    # The watermark text has whole seconds, so the second run finds the rows of the last
+    # The watermark text has whole seconds, so the later runs find the rows of the last
     # second whose time has a fraction.
     "extract_to_bronze": """
 SELECT 'orders' AS table_name, max(o_orderdate) AS last_load_timestamp,
        count(*) FILTER (o_orderdate > (SELECT date_trunc('second', max(o_orderdate)) FROM orders)) AS last_row_count,
        'SUCCESS' AS load_status,
-       count(*) + count(*) FILTER (o_orderdate > (SELECT date_trunc('second', max(o_orderdate)) FROM orders)) AS landed_rows
+       count(*) + 2 * count(*) FILTER (o_orderdate > (SELECT date_trunc('second', max(o_orderdate)) FROM orders)) AS landed_rows
 FROM orders
 UNION ALL
 SELECT 'events', max(ts), count(*) FILTER (ts > (SELECT date_trunc('second', max(ts)) FROM events)), 'SUCCESS',
-       count(*) + count(*) FILTER (ts > (SELECT date_trunc('second', max(ts)) FROM events))
+       count(*) + 2 * count(*) FILTER (ts > (SELECT date_trunc('second', max(ts)) FROM events))
 FROM events""",
     "ingest_work_list": with_relations("""
 SELECT c_mktsegment AS schema_name, c_name AS table_name, 'o_orderdate' AS cdc_column,
@@ -175,6 +175,7 @@ FROM (SELECT *, o_orderstatus = 'O' AND o_custkey IN (
         "SELECT *, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM merged_lines"
     ),
     "stream_upsert": with_relations("SELECT * FROM merged_lines"),
+    "stream_batch_cuts": with_relations("SELECT * FROM latest_lines"),
     "stream_schema_guard": with_relations("""
 SELECT 'lineitem' AS table_name, (SELECT count(*) FROM lineitem WHERE l_linestatus = 'F') AS rows_read,
        (SELECT count(*) FROM stored_lines) AS rows_written, 'SUCCESS' AS status, false AS names_column
@@ -183,6 +184,13 @@ UNION ALL SELECT 'lineitem', 0, 0, 'FAILED', true"""),
 SELECT * EXCLUDE (bad) REPLACE (CASE WHEN bad THEN NULL ELSE o_custkey END AS o_custkey),
        CASE WHEN bad THEN '{"o_custkey":"C' || o_custkey || '"}' END AS _rescued_data
 FROM (SELECT *, o_orderstatus = 'O' AND o_totalprice > 250000 AS bad FROM orders)""",
+    "rescued_lossy": """
+SELECT event_id, CASE WHEN NOT ts_bad THEN CAST(ts AS DATE) END AS ts, CASE WHEN NOT value_bad THEN CAST(value AS BIGINT) END AS value,
+       CASE WHEN NOT amount_bad THEN CAST(wide AS DOUBLE) END AS amount,
+       ts_bad AS ts_rescued, value_bad AS value_rescued, amount_bad AS amount_rescued
+FROM (SELECT *, coalesce(ts <> CAST(ts AS DATE), false) AS ts_bad, coalesce(value <> trunc(value), false) AS value_bad,
+             coalesce(wide <> CAST(wide AS DECIMAL(14,1)), false) AS amount_bad
+      FROM (SELECT *, CAST(value AS DECIMAL(14,3)) AS wide FROM events))""",
     "user_attribute_hash": with_relations("""
 SELECT user_id, sha256(concat_ws('||', user_name, country, subscription_type)) AS attribute_hash FROM users"""),
     "artist_attribute_hash": with_relations("""
@@ -193,6 +201,15 @@ SELECT artist_id, sha256(concat_ws('||', artist_name, genre, country)) AS attrib
     "scd2_artist": with_relations(f"SELECT {ARTIST_COLUMNS} FROM dim_artist_second"),
     "scd2_second_run_noop": with_relations(f"SELECT {USER_COLUMNS} FROM dim_user_second"),
     "scd2_published": with_relations(f"SELECT {USER_COLUMNS} FROM dim_user_second"),
+    "scd2_published_missing": with_relations(f"""
+SELECT u.user_id, u.subscription_type, DATE '{FIRST_RUN[:10]}' AS start_date,
+       CASE WHEN e.user_id IS NULL OR e.subscription_type IS DISTINCT FROM u.subscription_type THEN DATE '{RUN_TS[:10]}' END AS end_date,
+       e.user_id IS NOT NULL AND e.subscription_type IS NOT DISTINCT FROM u.subscription_type AS is_current
+FROM users u LEFT JOIN earlier_users e ON u.user_id = e.user_id
+UNION ALL
+SELECT e.user_id, e.subscription_type, DATE '{RUN_TS[:10]}', NULL, true
+FROM users u JOIN earlier_users e ON u.user_id = e.user_id
+WHERE e.subscription_type IS DISTINCT FROM u.subscription_type"""),
     "dim_user_history": with_relations(f"SELECT {USER_COLUMNS} FROM dim_user_second"),
     "dim_artist_history": with_relations(f"SELECT {ARTIST_COLUMNS} FROM dim_artist_second"),
     "dim_track_flag": with_relations("""
@@ -220,6 +237,9 @@ SELECT factstream.stream_id, factstream.listen_duration, dimuser.user_id, dimuse
 FROM streams AS factstream
 LEFT JOIN users AS dimuser ON factstream.user_id = dimuser.user_id
 LEFT JOIN tracks AS dimtrack ON factstream.track_id = dimtrack.track_id"""),
+    "declared_range_join": with_relations("""
+SELECT f.stream_id, f.listen_duration, t.track_name, t.duration_sec
+FROM streams f LEFT JOIN tracks t ON f.track_id = t.track_id AND f.listen_duration < t.duration_sec"""),
     "full_run_fact": with_relations(FRESH + fact("fresh_users", "fresh_artists")),
     "pk_null_checks": with_relations(CHECKED + "SELECT * FROM pk_nulls"),
     "row_drift": with_relations(CHECKED + "SELECT * FROM row_drift"),

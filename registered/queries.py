@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from registered.relations import (
     EVENTS,
@@ -37,7 +39,7 @@ from siltstone.sinks.logs import failure_windows, newest_first, recent_runs
 from siltstone.sinks.publish import publish_table
 from siltstone.sinks.upsert import upsert_table
 from siltstone.sources.incremental import ParquetSource, changed_since, land, measure
-from siltstone.specs import Layers, TableSpec
+from siltstone.specs import JoinSpec, Layers, TableSpec
 from siltstone.streaming.ingest import ingest_stream
 from siltstone.streaming.schema import read_pinned
 
@@ -80,11 +82,12 @@ def extract_watermark(t: Tables) -> DataFrame:
 
 @registered
 def extract_to_bronze(t: Tables) -> DataFrame:
-    """Load log after extracting two source tables twice, the second time finding nothing."""
+    """Load log after extracting two source tables three times, the later ones finding nothing."""
     layers = own_layers(t)
     source = ParquetSource(t.sf_dir, ".parquet")
     control.bootstrap(t.spark, layers, [ORDERS, EVENTS])
-    for second in (0, 1):
+    # The last run repeats the first one's time.
+    for second in (0, 1, 0):
         runs.extract_all(
             t.spark, layers, [ORDERS, EVENTS], source, datetime(2026, 3, 31, 6, 57, second)
         )
@@ -209,10 +212,21 @@ def upsert_moves_partition(t: Tables) -> DataFrame:
 @registered
 def stream_upsert(t: Tables) -> DataFrame:
     """Two landings streamed into a silver table, the later one winning."""
-    layers = own_layers(t)
+    layers, spec = own_layers(t), replace(LINES, last_batch_wins=True)
     for second, status in enumerate(("F", "O")):
-        land(t.lines(status), layers.bronze(LINES), LINES, datetime(2026, 3, 31, 6, 57, second))
-        ingest_stream(t.spark, LINES, layers)
+        land(t.lines(status), layers.bronze(spec), spec, datetime(2026, 3, 31, 6, 57, second))
+        ingest_stream(t.spark, spec, layers)
+    return t.spark.table(layers.silver_table(spec.name))
+
+
+@registered
+def stream_batch_cuts(t: Tables) -> DataFrame:
+    """The newer lines land first and every file is a batch; the newest row of a key wins."""
+    layers = own_layers(t)
+    for second, status in enumerate(("O", "F")):
+        lines = t.lines(status).coalesce(2)
+        land(lines, layers.bronze(LINES), LINES, datetime(2026, 3, 31, 6, 57, second))
+    ingest_stream(t.spark, LINES, layers, max_files=1)
     return t.spark.table(layers.silver_table(LINES.name))
 
 
@@ -250,6 +264,21 @@ def rescued_rows(t: Tables) -> DataFrame:
     return read_pinned(t.spark, [f"{root}/plain", f"{root}/drifted"], orders.schema)
 
 
+@registered
+def rescued_lossy(t: Tables) -> DataFrame:
+    """Events landed with wider types than are pinned: casts that lose something are rescued."""
+    root = fresh_dir(t.spark, "rescue")
+    t("events").select(
+        "event_id", "ts", "value", F.col("value").cast("decimal(14,3)").alias("amount")
+    ).write.parquet(f"{root}/wide")
+    pinned = StructType.fromDDL("event_id BIGINT, ts DATE, value BIGINT, amount DECIMAL(14,1)")
+    rescued = F.coalesce(F.col("_rescued_data"), F.lit(""))
+    return read_pinned(t.spark, [f"{root}/wide"], pinned).select(
+        "event_id", "ts", "value", F.col("amount").cast("double").alias("amount"),
+        *[rescued.contains(f'"{c}":').alias(f"{c}_rescued") for c in ("ts", "value", "amount")],
+    )
+
+
 # Versioned dimensions
 
 
@@ -308,6 +337,19 @@ def scd2_published(t: Tables) -> DataFrame:
     return t.spark.table(layers.gold_table(USER_DIMENSION.dimension))
 
 
+@registered
+def scd2_published_missing(t: Tables) -> DataFrame:
+    """The user dimension over two runs, the second with fewer users, whose versions expire."""
+    layers, spec = own_layers(t), replace(USER_DIMENSION, expire_missing=True)
+    silver = layers.silver_table("DimUser")
+    for stamp, users in ((FIRST_RUN, t.users()), (RUN_TS, t.earlier_users())):
+        publish_table(users, silver)
+        runs.run_scd2(t.spark, layers, [spec], datetime.fromisoformat(stamp))
+    return t.spark.table(layers.gold_table(spec.dimension)).select(
+        "user_id", "subscription_type", "start_date", "end_date", "is_current"
+    )
+
+
 # Gold views
 
 
@@ -369,6 +411,15 @@ def declared_join(t: Tables) -> DataFrame:
     return join_chain(t.silver, listening.STREAM_DETAIL_JOIN)
 
 
+@registered
+def declared_range_join(t: Tables) -> DataFrame:
+    within = "f.track_id = t.track_id AND f.listen_duration < t.duration_sec"
+    return join_chain(t.silver, [
+        JoinSpec("FactStream", "f", ("f.stream_id", "f.listen_duration")),
+        JoinSpec("DimTrack", "t", ("t.track_name", "t.duration_sec"), within),
+    ])
+
+
 @registered
 def full_run_fact(t: Tables) -> DataFrame:
     """The published fact after a full run: extract, ingest, check, version, publish."""

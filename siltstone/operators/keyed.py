@@ -19,16 +19,24 @@ from siltstone.specs import quoted
 MATCHED = "_matched"
 
 
-def _sortable(kind: DataType) -> bool:
+def sortable(kind: DataType) -> bool:
     if isinstance(kind, (MapType, VariantType)):
         return False
     if isinstance(kind, ArrayType):
-        return _sortable(kind.elementType)
+        return sortable(kind.elementType)
     if isinstance(kind, StructType):
-        return all(_sortable(field.dataType) for field in kind.fields)
+        return all(sortable(field.dataType) for field in kind.fields)
     return True
 
 
+def total_order(
+    schema: StructType, keys: Sequence[str], order_column: str, tie_breakers: Sequence[str] = ()
+) -> list[str]:
+    """Columns that order the rows of a key: greatest first, equal only if the rows are."""
+    others = [field.name for field in schema.fields if sortable(field.dataType)]
+    return [c for c in dict.fromkeys([order_column, *tie_breakers, *others]) if c not in keys]
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -44,9 +52,8 @@ def latest_per_key(
     """
     if not keys:
         return df
-    others = [field.name for field in df.schema.fields if _sortable(field.dataType)]
-    ordering = dict.fromkeys([order_column, *tie_breakers, *others])
-    order = [F.col(quoted(c)).desc_nulls_last() for c in ordering if c not in keys]
+    ordering = total_order(df.schema, keys, order_column, tie_breakers)
+    order = [F.col(quoted(c)).desc_nulls_last() for c in ordering]
     window = Window.partitionBy(*[F.col(quoted(k)) for k in keys]).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
@@ -68,17 +75,19 @@ def without_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
 
 
 def newer_than_stored(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order_column: str
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | Sequence[str]
 ) -> DataFrame:
     """Rows of ``batch`` not older than the stored row of the same key.
 
-    The stored rows are narrowed to key and order column and semi-joined to the batch,
+    ``order`` columns are compared one after the other, NULL as the smallest; with those
+    of :func:`total_order` the outcome does not depend on how rows were cut into batches.
+    The stored rows are narrowed to key and order columns and semi-joined to the batch,
     so only keys that lose travel on.
     """
-    columns = [quoted(c) for c in dict.fromkeys([*keys, order_column])]
-    stored = F.col(f"t.{quoted(order_column)}")
-    incoming = F.col(f"b.{quoted(order_column)}")
-    older = (stored > incoming) | (incoming.isNull() & stored.isNotNull())
+    order = [order] if isinstance(order, str) else list(order)
+    columns = [quoted(c) for c in dict.fromkeys([*keys, *order])]
+    stored, incoming = (F.struct(*[F.col(f"{side}.{quoted(c)}") for c in order]) for side in "tb")
+    older = stored > incoming
     losing = target.select(*columns).alias("t").join(
         batch.select(*columns).alias("b"), key_match(keys, "t", "b") & older, "left_semi"
     )

@@ -17,7 +17,7 @@ from pyspark.sql.types import (
 )
 
 from siltstone.functions.hashing import hash_key
-from siltstone.operators.keyed import key_match, update_matched
+from siltstone.operators.keyed import key_match, update_matched, without_keys
 from siltstone.specs import Scd2Spec, quoted
 
 
@@ -112,26 +112,38 @@ def scd2_changes(
     return _fitted(changed, dimension, spec)
 
 
+def scd2_missing(dimension: DataFrame, source: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Keys of current rows that the source no longer has."""
+    keys = [quoted(k) for k in spec.keys]
+    return without_keys(_current(dimension).select(*keys).dropna(), source, spec.keys)
+
+
 def scd2_merge(
     dimension: DataFrame,
     changes: DataFrame,
     spec: Scd2Spec,
     run_ts: datetime | str,
     run_date: date | str | None = None,
+    missing: DataFrame | None = None,
 ) -> DataFrame:
-    """Expire the current rows of changed keys and append the new versions.
+    """Expire the current rows of changed and ``missing`` keys and append the new versions.
 
     Give persisted ``changes``, since they are used twice. History passes through
     untouched, and when few keys changed they are broadcast, so nothing of the
     dimension is shuffled.
     """
     stamp, day = _stamps(run_ts, run_date)
-    expired = update_matched(
-        _current(dimension),
-        changes.select(*[quoted(k) for k in spec.keys]).distinct(),
-        spec.keys,
-        {"end_date": day, "is_current": F.lit(False), "record_end_ts": stamp},
-    )
+    closing = changes.select(*[quoted(k) for k in spec.keys])
+    if missing is not None:
+        closing = closing.unionByName(missing.select(*[quoted(k) for k in spec.keys]))
+    ended = {"end_date": day, "is_current": F.lit(False), "record_end_ts": stamp}
+    expired = update_matched(_current(dimension), closing.distinct(), spec.keys, ended)
+    if missing is not None:
+        # A NULL key matches no source row either.
+        null_key = reduce(Column.__or__, [F.col(quoted(k)).isNull() for k in spec.keys])
+        expired = expired.withColumns(
+            {c: F.when(null_key, value).otherwise(F.col(c)) for c, value in ended.items()}
+        )
     return _past(dimension).unionByName(expired).unionByName(changes)
 
 

@@ -15,6 +15,7 @@ from siltstone.operators.scd2 import (
     duplicate_keys,
     scd2_changes,
     scd2_merge,
+    scd2_missing,
 )
 from siltstone.plans.control import (
     CONFIGS,
@@ -151,13 +152,17 @@ def apply_scd2(
         raise ValueError(f"{spec.source} repeats keys of {spec.dimension}: {repeated}")
 
     changes = scd2_changes(spark.table(table), source, spec, run_ts).persist()
+    missing = scd2_missing(spark.table(table), source, spec).persist() if spec.expire_missing else None
     try:
         count = changes.count()
-        if count:
-            publish_table(scd2_merge(spark.table(table), changes, spec, run_ts), table)
+        if count or missing is not None and not missing.isEmpty():
+            merged = scd2_merge(spark.table(table), changes, spec, run_ts, missing=missing)
+            publish_table(merged, table)
         return count
     finally:
         changes.unpersist()
+        if missing is not None:
+            missing.unpersist()
 
 
 def run_scd2(

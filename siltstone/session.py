@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path below the cluster's shared checkpoint folder.
 
     The folder is read from ``spark.checkpoint.dir``. Only a local session without
-    that setting gets a temporary folder of its own.
+    that setting uses a folder below its warehouse.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="siltstone-")
-        context.setCheckpointDir(base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     return "/".join([base.rstrip("/"), *parts])
 
 

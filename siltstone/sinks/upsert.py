@@ -45,7 +45,7 @@ def upsert_table(
     table: str,
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
-    guard_order: str | None = None,
+    guard_order: str | Sequence[str] | None = None,
     stable_partitions: bool = False,
 ) -> Merged:
     """Update matched rows, insert the others, create the table on first use.
@@ -55,7 +55,8 @@ def upsert_table(
     and those holding a row that is being replaced. Finding the latter scans the key
     columns of the table, unless ``stable_partitions`` promises that a key stays put.
     An unpartitioned parquet table is rewritten whole. A provider with row-level
-    operations gets a MERGE instead.
+    operations gets a MERGE instead. Columns that the table lacks raise an error. With
+    ``guard_order`` (columns as for :func:`newer_than_stored`) newer stored rows stay.
     """
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
@@ -64,6 +65,9 @@ def upsert_table(
         raise ValueError("an upsert needs at least one key column")
 
     target = spark.table(table)
+    known = {c.lower() for c in target.columns}
+    if unknown := [c for c in batch.columns if c.lower() not in known]:
+        raise ValueError(f"{table} lacks columns of the batch: {', '.join(unknown)}")
     batch = batch.select(*[quoted(c) for c in target.columns])
     merge = _merge_into if provider(spark, table) in ROW_LEVEL_PROVIDERS else _rewrite
     if not guard_order:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StructType, TimestampType
 
 from siltstone.sinks.publish import Published, write_snapshot
 from siltstone.specs import TableSpec, quoted
@@ -15,17 +17,30 @@ from siltstone.specs import TableSpec, quoted
 START_OF_TIME = "1900-01-01 00:00:00"
 
 
+def split_column_of(schema: StructType, spec: TableSpec) -> str:
+    """The column whose ranges split a table, by its spec or its first primary key."""
+    column = spec.split_column or next(iter(spec.primary_keys), None)
+    kinds = {f.name.lower(): f.dataType for f in schema.fields}
+    kind = kinds.get((column or "").lower())
+    if not isinstance(kind, (NumericType, DateType, TimestampType)):
+        raise ValueError(
+            f"{spec.name}: {column or 'no key'} cannot split the table; name a numeric or temporal "
+            "split_column, or set single_task to read it in one task"
+        )
+    return column
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A relational source. ``options`` are Spark's JDBC options (url, user, driver, ...).
 
-    Without ``split_column`` a table is read by one task, which only suits small ones.
-    With it the changed rows are read in ``num_partitions`` ranges of that column, whose
-    bounds the database computes over the changed rows.
+    The changed rows of a table are read in ``num_partitions`` ranges of its split column,
+    whose bounds the database computes over the changed rows. That is the spec's
+    ``split_column``, or else its first primary key if that is numeric or temporal. A
+    table without one is only read, by one task, if its spec says ``single_task``.
     """
 
     options: Mapping[str, str]
-    split_column: str | None = None
     num_partitions: int = 64
     overlap: bool = False
 
@@ -33,17 +48,18 @@ class JdbcSource:
         options = {**self.options, "dbtable": f"{spec.schema_name}.{spec.name}"}
         table = spark.read.format("jdbc").options(**options).load()
         rows = changed_since(table, spec, watermark, self.overlap)
-        if not self.split_column:
+        if spec.single_task:
             return rows
-        column = F.col(quoted(self.split_column))
+        split_column = split_column_of(table.schema, spec)
+        column = F.col(quoted(split_column))
         low, high = rows.agg(F.min(column), F.max(column)).first()
         if low is None:
             return rows
         bounds = {
-            "partitionColumn": self.split_column,
+            "partitionColumn": split_column,
             "lowerBound": str(low),
             "upperBound": str(high),
-            "numPartitions": str(self.num_partitions),
+            "numPartitions": str(spec.num_partitions or self.num_partitions),
         }
         split = spark.read.format("jdbc").options(**options, **bounds).load()
         return changed_since(split, spec, watermark, self.overlap)
@@ -98,7 +114,11 @@ def land(
 ) -> Published:
     """Write the slice and return its path, row count and greatest change value.
 
+    The files go to a folder of their own below the landing path, so a run that is
+    repeated with the same time lands again beside the first.
+
     The measures come from the rows written, so nothing that reaches the source
     between copying and measuring can be skipped.
     """
-    return write_snapshot(df, landing_path(bronze, spec, at), metrics=slice_metrics(spec))
+    path = f"{landing_path(bronze, spec, at)}/{uuid.uuid4().hex[:12]}"
+    return write_snapshot(df, path, metrics=slice_metrics(spec))

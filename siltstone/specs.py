@@ -42,8 +42,14 @@ class TableSpec:
     # True promises that a key never changes partition, so an upsert looks for
     # existing rows in the incoming partitions only instead of scanning all keys.
     stable_partitions: bool = False
-    # True keeps the stored row when an incoming one is older.
-    guard_order: bool = False
+    # False keeps the stored row when an incoming one is older, so the outcome does not
+    # depend on how landed files are cut into batches. With True it does: the row of the
+    # last batch wins, whatever its order column says.
+    last_batch_wins: bool = False
+    # How a relational source is read: see ``JdbcSource``.
+    split_column: str | None = None
+    num_partitions: int | None = None
+    single_task: bool = False
 
     def __post_init__(self) -> None:
         for label in ("name", "cdc_column", "order_column"):
@@ -110,12 +116,17 @@ class Scd2Spec:
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """One entry of a declared join; the first entry of a list is the base."""
+    """One entry of a declared join; the first entry of a list is the base.
+
+    A condition without equality needs ``span``: a value of earlier entries, the low and the
+    high end of the entry's own range that holds it, and a bucket width to join on.
+    """
 
     table: str
     alias: str
     cols: tuple[str, ...]
     condition: str | None = None
+    span: tuple[str, str, str, float] | None = None
 
     @classmethod
     def of(cls, entry: Mapping[str, object]) -> JoinSpec:
@@ -130,6 +141,7 @@ class JoinSpec:
             alias=str(entry["alias"]),
             cols=tuple(cols),
             condition=entry.get("condition"),
+            span=tuple(entry["span"]) if entry.get("span") else None,
         )
 
 
@@ -202,6 +214,9 @@ def table_specs(
                 target_path=entry.get("target_path"),
                 partition_by=entry.get("partition_by") or (),
                 is_active=bool(entry.get("is_active", True)),
+                split_column=entry.get("split_column"),
+                num_partitions=entry.get("num_partitions"),
+                single_task=bool(entry.get("single_task", False)),
                 rules=tuple((rules or {}).get(name, ())),
             )
         )

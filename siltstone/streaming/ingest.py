@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.functions.derive import conform
-from siltstone.operators.keyed import latest_per_key
+from siltstone.operators.keyed import latest_per_key, total_order
 from siltstone.plans.control import RUN_LOG, record_table_sizes
 from siltstone.sinks.logs import FAILED, SUCCESS, RunEntry, log_run
 from siltstone.sinks.upsert import Merged, upsert_table
@@ -35,7 +35,9 @@ def ingest_rows(landed: DataFrame, spec: TableSpec, table: str) -> Merged:
             table,
             spec.primary_keys,
             spec.partition_by,
-            guard_order=spec.order_column if spec.guard_order else None,
+            guard_order=None if spec.last_batch_wins else total_order(
+                rows.schema, spec.primary_keys, spec.order_column, spec.tie_breakers
+            ),
             stable_partitions=spec.stable_partitions,
         )
     finally:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 # of the files is not read here.
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 MAX_FILES_PER_BATCH = 10_000
+# Spark passes over files much older than the newest one it has seen. A century takes all.
+MAX_FILE_AGE = "36500d"
 
 
 def landed_paths(
@@ -17,7 +19,8 @@ def landed_paths(
 
     Streaming paths instead of rows lets each batch check the files' own schemas before
     a row is read; a typed parquet stream would drop new columns silently. ``max_files``
-    bounds what one batch hands to the driver.
+    bounds what one batch hands to the driver. A file counts however old its modification
+    time is, so the stream remembers every path it has seen.
     """
     return (
         spark.readStream.format("binaryFile")
@@ -25,6 +28,7 @@ def landed_paths(
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(folder)
         .select("path")
     )

@@ -8,15 +8,24 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    StructType,
+)
 
 from siltstone.functions.derive import RESCUED
+from siltstone.operators.keyed import sortable
 from siltstone.sources.tables import inline_rows
 from siltstone.specs import quoted
 
 MERGE_CONFLICT = "CANNOT_MERGE_SCHEMAS"
+WIDEST_DECIMAL = "decimal(38,18)"
 
 
 class NewColumnsError(ValueError):
@@ -76,10 +85,29 @@ def conforms(pinned: StructType, found: StructType) -> bool:
     )
 
 
+def _fits(value: Column, fitted: Column, source: DataType, target: DataType) -> Column:
+    """Whether a cast that succeeded kept the value.
+
+    Text is compared with its parse into the widest type of the target's family, so "7"
+    and "07" both fit an INT, while a text with a time of day does not fit a DATE. Other
+    values must come back unchanged from the target type. Maps cannot be compared.
+    """
+    if isinstance(source, StringType):
+        if isinstance(target, (IntegralType, DecimalType)):
+            wide = value.try_cast(WIDEST_DECIMAL)
+            return wide.isNull() | wide.eqNullSafe(fitted.try_cast(WIDEST_DECIMAL))
+        if isinstance(target, DateType):
+            stamp = value.try_cast("timestamp")
+            return stamp.isNull() | stamp.eqNullSafe(fitted.cast("timestamp"))
+        return F.lit(True)
+    return fitted.try_cast(source).eqNullSafe(value) if sortable(source) else F.lit(True)
+
+
 def rescue(df: DataFrame, pinned: StructType) -> DataFrame:
     """Cast to the pinned types; values that do not fit go to ``_rescued_data`` as JSON.
 
-    Absent columns become NULL. Rows without a bad value get a NULL rescue column.
+    A value fits if its cast succeeds and loses nothing. Absent columns become NULL. Rows
+    without a bad value get a NULL rescue column.
     """
     present = {name.lower(): name for name in df.columns}
     columns, misfits = [], []
@@ -93,8 +121,9 @@ def rescue(df: DataFrame, pinned: StructType) -> DataFrame:
             columns.append(value.alias(field.name))
             continue
         fitted = value.try_cast(field.dataType)
-        columns.append(fitted.alias(field.name))
-        misfits.append(F.when(fitted.isNull() & value.isNotNull(), value).alias(field.name))
+        kept = fitted.isNotNull() & _fits(value, fitted, df.schema[name].dataType, field.dataType)
+        columns.append(F.when(kept, fitted).alias(field.name))
+        misfits.append(F.when(~kept & value.isNotNull(), value).alias(field.name))
     if misfits:
         packed = F.to_json(F.struct(*misfits))
         columns.append(F.when(packed != "{}", packed).alias(RESCUED))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -131,9 +132,9 @@ def test_relational_source_is_read_in_ranges_of_the_changed_rows(spark):
             return data
 
     plain = JdbcSource({"url": "u"})
-    assert plain.read(Reader(), SPEC, "2026-01-01 00:00:00").count() == 2
+    assert plain.read(Reader(), replace(SPEC, single_task=True), "2026-01-01 00:00:00").count() == 2
     assert asked == [{"url": "u", "dbtable": "dbo.Items"}]
-    split = JdbcSource({"url": "u"}, split_column="id", num_partitions=8, overlap=True)
+    split = JdbcSource({"url": "u"}, num_partitions=8, overlap=True)
     assert split.read(Reader(), SPEC, "2026-02-01 00:00:00").count() == 2
     assert asked[-1] == {
         "url": "u", "dbtable": "dbo.Items", "partitionColumn": "id",
@@ -141,6 +142,11 @@ def test_relational_source_is_read_in_ranges_of_the_changed_rows(spark):
     }
     assert split.read(Reader(), SPEC, "2027-01-01 00:00:00").count() == 0
     assert "partitionColumn" not in asked[-1]
+    other = replace(SPEC, split_column=SPEC.cdc_column, num_partitions=3)
+    assert split.read(Reader(), other, "2026-02-01 00:00:00").count() == 2
+    assert (asked[-1]["partitionColumn"], asked[-1]["numPartitions"]) == (SPEC.cdc_column, "3")
+    with pytest.raises(ValueError, match="single_task"):
+        split.read(Reader(), replace(SPEC, split_column="nowhere"), "2026-02-01 00:00:00")
 
 
 def test_landing_path():
@@ -156,7 +162,7 @@ def test_extract_moves_the_watermark_only_on_success(spark, layers, tmp_path, ro
     columns = ("last_load_timestamp", "last_row_count", "load_status", "last_updated_at")
 
     done = extract_all(spark, layers, [SPEC], ParquetSource(root), NOW)["Items"]
-    assert (done.rows, done.location.split("/")[-1]) == (2, "items_20260301000000.parquet")
+    assert (done.rows, done.location.split("/")[-2]) == (2, "items_20260301000000.parquet")
     assert rows(spark.table(marks), *columns) == [(NEW, 2, "SUCCESS", NOW)]
 
     later = datetime(2026, 3, 2)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from siltstone.operators.joins import Lookup, join_chain, resolve_keys
+from siltstone.operators.joins import Lookup, has_equality, join_chain, resolve_keys
 from siltstone.plans.listening import STREAM_DETAIL_JOIN
 from siltstone.specs import JoinSpec
 
@@ -18,7 +18,8 @@ def test_declared_join_from_plain_mappings(spark, rows):
     entries = [
         {"table": "fact", "alias": "f", "cols": "f.id, f.k"},
         {"table": "dim", "alias": "d", "cols": ["d.name", "upper(d.name) as shout"], "condition": "f.k = d.k"},
-        {"table": "band", "alias": "b", "cols": "b.label", "condition": "f.id >= b.low AND f.id < b.high"},
+        {"table": "band", "alias": "b", "cols": "b.label", "condition": "f.id >= b.low AND f.id < b.high",
+         "span": ["f.id", "b.low", "b.high", 3]},
     ]
     tables = {
         "fact": spark.createDataFrame([(1, 10), (7, 20)], "id int, k int"),
@@ -28,6 +29,7 @@ def test_declared_join_from_plain_mappings(spark, rows):
     got = join_chain(tables.__getitem__, [JoinSpec.of(e) for e in entries])
     assert got.columns == ["id", "k", "name", "shout", "label"]
     assert rows(got) == [(1, 10, "x", "X", "small"), (7, 20, None, None, "big")]
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_declared_join_rejects_unusable_specs(spark):
@@ -53,3 +55,21 @@ def test_default_declared_join_columns(spark):
     assert got.columns == [
         "stream_id", "listen_duration", "user_id", "user_name", "track_id", "track_name",
     ]
+
+
+@pytest.mark.parametrize(
+    "condition, fits",
+    [
+        ("a.id = b.id", True),
+        ("b.id = a.id AND a.x < b.y", True),
+        ("(a.id = b.id) AND b.z > 1", True),
+        ("a.id <=> b.id", True),
+        ("a.x < b.y", False),
+        ("b.id = 5", False),
+        ("a.id = b.id OR a.x = 1", False),
+        ("b.id = b.x", False),
+        ("a.x <= b.y AND a.x >= b.z", False),
+    ],
+)
+def test_declared_joins_need_an_equality(condition, fits):
+    assert has_equality(condition, "b", ["a"]) == fits

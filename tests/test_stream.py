@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import os
+import time
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
@@ -17,7 +20,7 @@ from siltstone.streaming.schema import (
     rescue,
 )
 
-SPEC = TableSpec("Items", "ts", ("id",), "ts", partition_by=("day",))
+SPEC = TableSpec("Items", "ts", ("id",), "ts", partition_by=("day",), last_batch_wins=True)
 DDL = "id int, v string, ts timestamp, day int"
 
 
@@ -48,7 +51,7 @@ def test_files_are_ingested_once_and_the_last_batch_wins(spark, layers, rows):
 
 
 def test_guarded_stream_keeps_the_newer_row(spark, layers, rows):
-    spec = TableSpec("Items", "ts", ("id",), "ts", guard_order=True)
+    spec = TableSpec("Items", "ts", ("id",), "ts")
     land_rows(spark, layers, [(1, "new", at(9), 1)], "one")
     ingest_stream(spark, spec, layers)
     land_rows(spark, layers, [(1, "late", at(0), 1)], "two")
@@ -56,6 +59,27 @@ def test_guarded_stream_keeps_the_newer_row(spark, layers, rows):
     assert rows(spark.table(layers.silver_table("Items")), "v") == [("new",)]
 
 
+@pytest.mark.parametrize("max_files", [1, 100])
+def test_newest_row_wins_however_batches_are_cut(spark, layers, rows, max_files):
+    spec = TableSpec("Items", "ts", ("id",), "ts", tie_breakers=("day",))
+    for k, data in enumerate([[(1, "new", at(9), 1), (2, "a", at(1), 5)], [(1, "old", at(3), 9), (2, "z", at(1), 4)]]):
+        land_rows(spark, layers, data, f"{k}", spec=spec)
+    ingest_stream(spark, spec, layers, max_files=max_files)
+    assert rows(spark.table(layers.silver_table("Items")), "id", "v") == [(1, "new"), (2, "a")]
+
+
+def test_old_files_are_read(spark, layers, rows):
+    spec = TableSpec("Items", "ts", ("id",), "ts")
+    land_rows(spark, layers, [(1, "a", at(1), 1)], "one", spec=spec)
+    ingest_stream(spark, spec, layers)
+    land_rows(spark, layers, [(2, "b", at(1), 1)], "two", spec=spec)
+    month_ago = time.time() - 30 * 86_400
+    for file in Path(layers.bronze(spec), "two").iterdir():
+        os.utime(file, (month_ago, month_ago))
+    ingest_stream(spark, spec, layers)
+    assert rows(spark.table(layers.silver_table("Items")), "id") == [(1,), (2,)]
+
+
 def test_many_small_batches_equal_one_run(spark, layers, rows):
     data = [(i % 7, f"v{i}", at(i), i % 3) for i in range(20)]
     for part in range(4):
