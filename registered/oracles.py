@@ -184,6 +184,14 @@ UNION ALL SELECT 'lineitem', 0, 0, 'FAILED', true"""),
 SELECT * EXCLUDE (bad) REPLACE (CASE WHEN bad THEN NULL ELSE o_custkey END AS o_custkey),
        CASE WHEN bad THEN '{"o_custkey":"C' || o_custkey || '"}' END AS _rescued_data
 FROM (SELECT *, o_orderstatus = 'O' AND o_totalprice > 250000 AS bad FROM orders)""",
+    "config_specs": """
+SELECT 'orders' AS table_name, 'shop' AS schema_name, 'o_orderdate' AS order_column, max(o_orderdate) AS newest,
+       count(DISTINCT o_orderkey) AS distinct_keys FROM orders
+UNION ALL SELECT 'lineitem', 'dbo', 'l_shipdate', max(l_shipdate), count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem
+UNION ALL SELECT 'events', 'dbo', 'value', max(ts), count(DISTINCT event_id) FROM events""",
+    "seed_upsert": """
+SELECT r_regionkey, r_name FROM region WHERE r_regionkey NOT IN (1, 9)
+UNION ALL SELECT 1, 'AMERICAS' UNION ALL SELECT 9, 'ATLANTIS'""",
     "rescued_lossy": """
 SELECT event_id, CASE WHEN NOT ts_bad THEN CAST(ts AS DATE) END AS ts, CASE WHEN NOT value_bad THEN CAST(value AS BIGINT) END AS value,
        CASE WHEN NOT amount_bad THEN CAST(wide AS DOUBLE) END AS amount,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from registered.relations import (
     RUN_TS,
     Tables,
 )
-from siltstone.functions.derive import calendar_columns, conform
+from siltstone.functions.derive import conform
 from siltstone.operators import keyed, quality
 from siltstone.operators.expectations import Expectation, require, violations
 from siltstone.operators.joins import join_chain
@@ -39,7 +41,8 @@ from siltstone.sinks.logs import failure_windows, newest_first, recent_runs
 from siltstone.sinks.publish import publish_table
 from siltstone.sinks.upsert import upsert_table
 from siltstone.sources.incremental import ParquetSource, changed_since, land, measure
-from siltstone.specs import JoinSpec, Layers, TableSpec
+from siltstone.sources.tables import inline_rows
+from siltstone.specs import JoinSpec, Layers, TableSpec, table_specs
 from siltstone.streaming.ingest import ingest_stream
 from siltstone.streaming.schema import read_pinned
 
@@ -122,6 +125,35 @@ def watermark_upsert(t: Tables) -> DataFrame:
     return control.watermark_upsert(t.watermarks(), updates, RUN_TS)
 
 
+CONFIG = """{"tables": [
+  {"table_name": "orders", "source_schema": "shop", "cdc_column": "o_orderdate", "primary_keys": ["o_orderkey"]},
+  {"table_name": "lineitem", "cdc_column": "l_shipdate", "primary_keys": ["l_orderkey", "l_linenumber"]},
+  {"table_name": "events", "cdc_column": "ts", "primary_keys": ["event_id"], "deduplicate_order_column": "value"}
+]}"""
+
+
+@registered
+def config_specs(t: Tables) -> DataFrame:
+    """Tables declared as JSON text, measured by their declarations."""
+    rows = []
+    for spec in table_specs(json.loads(CONFIG)["tables"]):
+        table = t(spec.name)
+        measured = table.agg(
+            F.max(F.col(spec.cdc_column)).cast("timestamp").alias("newest"),
+            F.count_distinct(*spec.primary_keys).alias("distinct_keys"),
+        )
+        named = {"table_name": spec.name, "schema_name": spec.schema_name, "order_column": spec.order_column}
+        rows.append(measured.select(*[F.lit(v).alias(k) for k, v in named.items()], "newest", "distinct_keys"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@registered
+def seed_upsert(t: Tables) -> DataFrame:
+    """Inline rows merged into a given table: one replaces a region, one is new."""
+    seeds = inline_rows(t.spark, [(1, "AMERICAS"), (9, "ATLANTIS")], "r_regionkey INT, r_name STRING")
+    return upsert(t("region").select("r_regionkey", "r_name"), seeds, ["r_regionkey"])
+
+
 @registered
 def config_upsert(t: Tables) -> DataFrame:
     stored = t.configs().filter("c_acctbal < 5000").drop("c_acctbal")
@@ -370,7 +402,7 @@ def dim_track_flag(t: Tables) -> DataFrame:
 
 @registered
 def dim_date_calendar(t: Tables) -> DataFrame:
-    return t.dates("orders", "o_orderdate").withColumns(calendar_columns(F.col("date")))
+    return VIEWS.build("gold_dim_date", lambda _: t.dates("orders", "o_orderdate"), t.gold)
 
 
 @registered

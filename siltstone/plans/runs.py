@@ -119,14 +119,14 @@ def run_quality(
     log_checks(spark, layers.metadata_table(QUALITY_LOG), checks)
     failed = [check for check in checks if check["status"] == FAIL]
     if failed:
-        broken = {check["check_name"] for check in failed}
+        broken = {(check["table_name"], check["check_name"]) for check in failed}
         samples = {
             f"{key.child}.{key.column}": [
                 row["orphan_key"]
                 for row in preview(orphans(read(key.child), read(key.parent), key)).collect()
             ]
             for key in foreign_keys
-            if f"referential_integrity_{key.column}" in broken
+            if (key.child, f"referential_integrity_{key.column}") in broken
         }
         raise QualityError(failed, samples)
     return checks

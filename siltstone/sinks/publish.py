@@ -55,6 +55,8 @@ def create_table(
 ) -> None:
     """Create a parquet table unless it exists; ``replace`` drops an existing one first.
 
+    Every table has a location and so is external: dropping its entry leaves the files,
+    which readers may still use, to ``sweep_snapshots``.
     Columns of a ``StructType`` become nullable: that one result had no NULL in a column
     says nothing about the next.
     """
@@ -65,9 +67,9 @@ def create_table(
             f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields
         )
     parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
-    place = f" LOCATION '{location}'" if location else ""
+    place = location or new_snapshot_path(spark, table)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quoted_table(table)} ({schema}) USING PARQUET{parts}{place}"
+        f"CREATE TABLE IF NOT EXISTS {quoted_table(table)} ({schema}) USING PARQUET{parts} LOCATION '{place}'"
     )
 
 
@@ -123,8 +125,9 @@ def publish_table(
 ) -> Published:
     """Replace the whole content of a table, creating it on first use.
 
-    Violated expectations are counted while writing and abort before the swap. When the
-    columns have changed, the table is declared anew.
+    Violated expectations are counted while writing and abort before the swap. Columns that
+    only came along are added; when columns have changed otherwise, or the table is
+    partitioned, it is declared anew.
     """
     spark = df.sparkSession
     checks = violation_columns(expectations)
@@ -137,6 +140,13 @@ def publish_table(
 
     exists = spark.catalog.tableExists(table)
     written = df.drop(*drop)
+    if exists and not partition_by:
+        known, wanted = set(spark.table(table).dtypes), dict(written.dtypes)
+        names = {name.lower() for name, _ in known}
+        added = [f for f in written.schema.fields if f.name.lower() not in names]
+        if added and known | {(f.name, wanted[f.name]) for f in added} == set(wanted.items()):
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {quoted_table(table)} ADD COLUMNS ({columns})")
     if not exists or sorted(spark.table(table).dtypes) != sorted(written.dtypes):
         create_table(spark, table, written.schema, partition_by, done.location, replace=exists)
         if partition_by:

@@ -271,3 +271,23 @@ def test_streamed_failure_windows(spark, tmp_path, rows):
     query.awaitTermination()
     assert sorted((w.minute, n) for w, _, n in seen) == [(0, 2), (5, 1)]
     assert RUN_LOG_DDL.count(",") == 9
+
+
+def test_upsert_names_columns_the_table_lacks(spark, layers):
+    table = layers.silver_table("t")
+    upsert_table(frame(spark, [(1, "a", day(5), 1)]), table, ["id"])
+    with pytest.raises(ValueError, match="extra"):
+        upsert_table(frame(spark, [(1, "a", day(5), 1)]).withColumn("extra", F.lit(1)), table, ["id"])
+
+
+def test_an_added_column_keeps_the_old_snapshot_readable(spark, layers, rows):
+    table = layers.silver_table("t")
+    publish_table(spark.createDataFrame([(1,)], "id int"), table)
+    before = spark.table(table)
+    files = before.inputFiles()
+    publish_table(spark.createDataFrame([(1, "x")], "id int, v string"), table)
+    assert rows(spark.table(table)) == [(1, "x")]
+    assert rows(spark.read.parquet(*files)) == [(1,)]
+    publish_table(spark.createDataFrame([("y",)], "v string"), table)
+    assert rows(spark.table(table)) == [("y",)]
+    assert rows(spark.read.parquet(*files)) == [(1,)]

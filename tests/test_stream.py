@@ -6,6 +6,7 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql.types import StructType
 
 from siltstone.functions.derive import RESCUED
 from siltstone.plans.control import RUN_LOG
@@ -174,3 +175,21 @@ def test_rescue_ignores_column_case(spark, rows):
     df = spark.createDataFrame([("1",)], "ID string")
     pinned = spark.createDataFrame([(1,)], "id int").schema
     assert rows(rescue(df, pinned)) == [(1, None)]
+
+
+@pytest.mark.parametrize(
+    "source, target, values, kept",
+    [
+        ("double", "int", [1.0, 1.9, None], [1, None, None]),
+        ("timestamp", "date", [datetime(2026, 1, 2), datetime(2026, 1, 2, 3)], [datetime(2026, 1, 2).date(), None]),
+        ("bigint", "double", [9007199254740992, 9007199254740993], [9007199254740992.0, None]),
+        ("int", "float", [16777216, 16777217], [16777216.0, None]),
+        ("string", "int", ["7", "07", "7.5", "x"], [7, 7, None, None]),
+        ("string", "date", ["2026-01-02", "2026-01-02 03:00:00"], [datetime(2026, 1, 2).date(), None]),
+    ],
+)
+def test_casts_that_lose_something_are_rescued(spark, source, target, values, kept):
+    found = spark.createDataFrame([(v,) for v in values], f"v {source}")
+    got = rescue(found, StructType.fromDDL(f"v {target}")).collect()
+    assert [r.v for r in got] == kept
+    assert [r[RESCUED] is not None for r in got] == [v is not None and k is None for v, k in zip(values, kept, strict=True)]
