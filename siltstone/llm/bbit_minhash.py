@@ -252,11 +252,14 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         "signatures",
     )
     able = signed.where("n_shingles > 0 and doc_id is not null")
-    copies = able.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"))
+    # The smallest row of each word sequence stands for its copies; they are reduced before the shuffle.
+    smallest = F.min(F.struct("doc_id", "buckets", "signature")).alias("m")
     reps = stored(
-        able.withColumnRenamed("doc_id", "doc").join(copies, ["h1", "h2", "doc"]).dropDuplicates(["doc", "h1", "h2"]),
+        able.groupBy("h1", "h2").agg(smallest)
+        .select(F.col("m.doc_id").alias("doc"), "h1", "h2", "m.buckets", "m.signature"),
         "representatives",
-    )
+    )
+    copies = reps.select("h1", "h2", "doc")
     # A node that has several texts has several rows here; its signatures are told apart by h1.
     members = reps.select("doc", "h1", F.posexplode("buckets").alias("band", "bucket"))
     shared = stored(
