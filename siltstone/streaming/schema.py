@@ -39,18 +39,23 @@ class NewColumnsError(ValueError):
 def file_schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
     """Paths grouped into sets with one mergeable schema.
 
-    Footers are merged by Spark in a distributed job. Only when types conflict is the
-    list halved and tried again, so a few odd files cost a few extra jobs.
+    Footers are merged by Spark in a distributed job. Only when types conflict is each
+    landing folder, which one run writes in one schema, merged by itself: at most a job per
+    folder, however types alternate. A folder that conflicts inside is halved.
     """
     try:
         return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, list(paths))]
     except (PySparkException, Py4JJavaError) as error:
         if len(paths) == 1 or MERGE_CONFLICT not in str(error):
             raise
+    parts: dict[str, list[str]] = {}
+    for path in paths:
+        parts.setdefault(path.rsplit("/", 1)[0], []).append(path)
     middle = len(paths) // 2
+    split = list(parts.values()) if len(parts) > 1 else [paths[:middle], paths[middle:]]
     groups: dict[str, tuple[StructType, list[str]]] = {}
-    for half in (paths[:middle], paths[middle:]):
-        for schema, members in file_schemas(spark, half):
+    for some in split:
+        for schema, members in file_schemas(spark, some):
             groups.setdefault(schema.json(), (schema, []))[1].extend(members)
     return list(groups.values())
 

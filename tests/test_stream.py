@@ -193,3 +193,19 @@ def test_casts_that_lose_something_are_rescued(spark, source, target, values, ke
     got = rescue(found, StructType.fromDDL(f"v {target}")).collect()
     assert [r.v for r in got] == kept
     assert [r[RESCUED] is not None for r in got] == [v is not None and k is None for v, k in zip(values, kept, strict=True)]
+
+
+def test_alternating_types_cost_a_merge_per_folder(spark, tmp_path, monkeypatch):
+    paths = []
+    for k in range(8):
+        spark.createDataFrame([(k, str(k))], "a int, b string").select(
+            "a" if k % 2 else "b"
+        ).toDF("v").coalesce(1).write.parquet(f"{tmp_path}/{k}")
+        paths += [str(p) for p in Path(tmp_path, str(k)).glob("*.parquet")]
+    merges = []
+    reader = type(spark.read)
+    parquet = reader.parquet
+    monkeypatch.setattr(reader, "parquet", lambda self, *p, **o: merges.append(p) or parquet(self, *p, **o))
+    groups = file_schemas(spark, paths)
+    assert sorted(len(members) for _, members in groups) == [4, 4]
+    assert len(merges) <= 1 + len(paths)
