@@ -2,8 +2,10 @@
 
 Lower-cased word 1- to 3-grams are hashed to sparse features of a multinomial logistic regression whose
 classes are the families and "unknown". It is trained on variations of the templates against a bounded
-sample of the scanned corpus; probabilities are calibrated by a temperature on held-out rows. Every paragraph of
-every text is classified; a prediction stands if enough of a template of that family is found in it.
+sample of the scanned corpus; probabilities are calibrated by a temperature on held-out rows. A paragraph is a run
+of lines that hold words, so that notices are found across line breaks. Of the overlapping windows of about a template's
+length that start anywhere in it, those that hold enough of the template are classified by themselves, and a window
+stands if its family is predicted. Titles on a line of their own and SPDX identifiers name their family.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.kernels import Rolling, lower_ascii, mix, slices, text_bytes, word_spans
+from siltstone.llm.kernels import Rolling, lower_ascii, mix, ragged, slices, text_bytes, word_spans
 
 # Usual notices of each family.
 TEMPLATES = {
@@ -73,6 +75,72 @@ TEMPLATES = {
         "Licensed under the Mozilla Public License 2.0.",
     ),
 }
+# The paragraphs of whole licences that are short, and the notices and main clauses of long ones.
+GNU = (
+    "This {work} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version.",
+    "This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.",
+    "You should have received a copy of the GNU {name} along with this {work}; if not, see https://www.gnu.org/licenses/.",
+)
+PARAGRAPHS = {
+    "AGPL": tuple(x.format(work="program", name="Affero General Public License", version="3") for x in GNU),
+    "Apache": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+        "Grant of Copyright License. Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+    ),
+    "BSD": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    ),
+    "GPL": tuple(x.format(work="program", name="General Public License", version="2") for x in GNU),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    ),
+    "LGPL": tuple(x.format(work="library", name="Lesser General Public License", version="2.1") for x in GNU),
+    "MIT": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    ),
+    "MPL": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+}
+# Lines that are the title of a licence and hold nothing else.
+TITLES = {
+    "AGPL": ("GNU Affero General Public License", "GNU Affero General Public License v3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    "Apache": ("Apache License", "Apache License 2.0", "Apache License, Version 2.0", "Apache License Version 2.0, January 2004"),
+    "BSD": ("BSD License", "The BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "The 2-Clause BSD License", "The 3-Clause BSD License", 'BSD 2-Clause "Simplified" License', 'BSD 3-Clause "New" or "Revised" License'),
+    "CC-BY": ("Attribution 4.0 International", "Creative Commons Attribution 4.0 International", "Creative Commons Attribution 4.0 International Public License"),
+    "CC-BY-NC": ("Attribution-NonCommercial 4.0 International", "Creative Commons Attribution-NonCommercial 4.0 International", "Creative Commons Attribution-NonCommercial 4.0 International Public License"),
+    "CC-BY-SA": ("Attribution-ShareAlike 4.0 International", "Creative Commons Attribution-ShareAlike 4.0 International", "Creative Commons Attribution-ShareAlike 4.0 International Public License"),
+    "CC0": ("CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"),
+    "GPL": ("GNU General Public License", "GNU General Public License v2.0", "GNU General Public License v3.0", "GNU General Public License Version 2, June 1991", "GNU General Public License Version 3, 29 June 2007"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "LGPL": ("GNU Lesser General Public License", "GNU Library General Public License", "GNU Lesser General Public License v2.1", "GNU Lesser General Public License v3.0", "GNU Lesser General Public License Version 2.1, February 1999", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "MPL": ("Mozilla Public License", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0"),
+}
+SPDX_TAG = "SPDX-License-Identifier"
+GNU_FORMS = ("", "-only", "-or-later")
+SPDX = {
+    "AGPL": tuple(f"AGPL-{v}{end}" for v in ("1.0", "3.0") for end in GNU_FORMS),
+    "Apache": ("Apache-1.0", "Apache-1.1", "Apache-2.0"),
+    "BSD": ("0BSD", "BSD-1-Clause", "BSD-2-Clause", "BSD-2-Clause-Patent", "BSD-3-Clause", "BSD-3-Clause-Clear", "BSD-4-Clause"),
+    "CC-BY": tuple(f"CC-BY-{v}" for v in ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    "CC-BY-NC": tuple(f"CC-BY-NC-{v}" for v in ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    "CC-BY-SA": tuple(f"CC-BY-SA-{v}" for v in ("1.0", "2.0", "2.5", "3.0", "4.0")),
+    "CC0": ("CC0-1.0",),
+    "GPL": tuple(f"GPL-{v}{end}" for v in ("1.0", "2.0", "3.0") for end in GNU_FORMS),
+    "ISC": ("ISC",),
+    "LGPL": tuple(f"LGPL-{v}{end}" for v in ("2.0", "2.1", "3.0") for end in GNU_FORMS),
+    "MIT": ("MIT", "MIT-0"),
+    "MPL": ("MPL-1.0", "MPL-1.1", "MPL-2.0", "MPL-2.0-no-copyleft-exception"),
+}
+TEMPLATES = {family: own + PARAGRAPHS.get(family, ()) for family, own in TEMPLATES.items()}
 FAMILIES = tuple(TEMPLATES)
 
 
@@ -104,7 +172,10 @@ class Model:
 
 
 def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words without ASCII punctuation at their ends, and each paragraph's first."""
+    """Hashes of the lower-cased words without ASCII punctuation at their ends, and each paragraph's first.
+
+    Marks of comments and lists, which are nothing but punctuation, are no words.
+    """
     data = lower_ascii(data)
     starts, ends, first = word_spans(data, bounds)
     letter = (data >= 128) | ((data - np.uint8(97)) < 26) | ((data - np.uint8(48)) < 10)
@@ -113,8 +184,8 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     last = np.maximum.accumulate(np.where(letter, at, -1))
     if len(starts):
         a, b = np.minimum(nxt[starts], ends), last[ends - 1] + 1
-        empty = b <= a
-        starts, ends = np.where(empty, starts, a), np.where(empty, ends, b)
+        held = b > a
+        starts, ends, first = a[held], b[held], np.concatenate([[0], np.cumsum(held)])[first]
     return Rolling(data).spans(starts, ends), first
 
 
@@ -183,7 +254,12 @@ def fit(sample: list[str], c: Licences) -> Model:
     grams = _template_grams()
     words, first = words_of(*_lines(sample))
     parts = [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-    clean = [s for s, w in zip(sample, parts, strict=True) if not any(overlap(w, g) >= 0.3 for _, g in grams)]
+    every = np.unique(np.concatenate([g for _, g in grams]))
+    # Neither much of a template, nor a line of a wrapped one.
+    clean = [
+        s for s, w in zip(sample, parts, strict=True)
+        if not any(overlap(w, g) >= 0.3 for _, g in grams) and not (len(w) > 1 and np.isin(_pairs(w), every).mean() >= 0.3)
+    ]
     filler = [w for s in clean[:500] for w in s.split()][:20_000]
     texts, labels = variations(c, filler)
     texts, labels = texts + clean, np.array(labels + [len(FAMILIES)] * len(clean))
@@ -234,9 +310,121 @@ def corpus_sample(docs: DataFrame, c: Licences) -> list[str]:
     return [row["x"] for row in top.select("x").collect()]
 
 
+def _chances(m: Model, words: np.ndarray, first: np.ndarray, c: Licences) -> np.ndarray:
+    """Calibrated probabilities, pieces by classes."""
+    grams, owner = grams_of(words, first, c.order)
+    bucket, count = (grams % np.uint64(c.buckets)).astype(np.int64), len(first) - 1
+    size = np.sqrt(np.maximum(1, np.bincount(owner, minlength=count)))
+    score = np.stack([np.bincount(owner, m.weights[bucket, k], count) for k in range(m.weights.shape[1])], 1)
+    score = (score / size[:, None] + m.bias) / m.temperature
+    score = np.exp(score - score.max(1, keepdims=True))
+    return score / score.sum(1, keepdims=True)
+
+
+def _members(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where ``values`` has values of the sorted ``known``."""
+    rough = np.zeros(1 << 16, bool)
+    rough[known & np.uint64(0xFFFF)] = True
+    at = np.flatnonzero(rough[values & np.uint64(0xFFFF)])
+    found = np.minimum(np.searchsorted(known, values[at]), len(known) - 1)
+    return at[known[found] == values[at]]
+
+
+class Finder:
+    """Windows that hold enough of a template, titles and identifiers in the words of many texts."""
+
+    def __init__(self, grams: list[tuple[int, np.ndarray]], c: Licences):
+        self.c, self.family = c, np.array([k for k, _ in grams])
+        self.size = np.array([len(g) for _, g in grams])
+        self.need = np.ceil(c.least_overlap * self.size - 1e-9).astype(np.int64)
+        # Words may be put in, as names or the marks of comments.
+        self.reach = self.size + self.size // 4 + 5
+        pair, template = np.concatenate([g for _, g in grams]), np.repeat(np.arange(len(grams)), self.size)
+        order = np.argsort(pair, kind="stable")
+        self.pairs, self.first, self.uses = np.unique(pair[order], return_index=True, return_counts=True)
+        self.templates = template[order]
+        one = lambda text: words_of(*_lines([text]))
+        self.titles = {int(self._rows(*one(x))[0]): k for k, f in enumerate(FAMILIES) for x in TITLES[f]}
+        self.ids = {int(one(x)[0][0]): k for k, f in enumerate(FAMILIES) for x in SPDX[f]}
+        self.tagged = {int(one(f"{SPDX_TAG}:{x}")[0][0]): k for k, f in enumerate(FAMILIES) for x in SPDX[f]}
+        self.tag = one(SPDX_TAG)[0][0]
+        self.title_hashes, self.tagged_hashes = (np.array(sorted(x), np.uint64) for x in (self.titles, self.tagged))
+
+    @staticmethod
+    def _rows(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """A hash of each line's word sequence."""
+        at = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words ^ mix(at.astype(np.uint64) + np.uint64(1))), dtype=np.uint64)])
+        return mix(sums[first[1:]] - sums[first[:-1]])
+
+    def named(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """First word, end and family of titles and identifiers."""
+        rows = self._rows(words, first)
+        for line in _members(rows, self.title_hashes):
+            yield int(first[line]), int(first[line + 1]), self.titles[int(rows[line])]
+        for at in _members(words, self.tagged_hashes):
+            yield int(at), int(at) + 1, self.tagged[int(words[at])]
+        for at in np.flatnonzero(words == self.tag):
+            end = int(first[np.searchsorted(first, at, "right")])
+            for k in range(int(at) + 1, end):
+                if (family := self.ids.get(int(words[k]))) is not None:
+                    yield k, k + 1, family
+
+    def windows(self, words: np.ndarray, paragraph: np.ndarray) -> list[tuple[int, int, int, float, int]]:
+        """First word, end, family, share of the template and pairs of it, for every window that holds enough."""
+        pairs = _pairs(words)
+        at = _members(pairs, self.pairs)
+        at = at[paragraph[at] == paragraph[at + 1]]
+        if not len(at):
+            return []
+        known = np.searchsorted(self.pairs, pairs[at])
+        uses = self.uses[known]
+        template = self.templates[ragged(self.first[known], uses)]
+        at, known = np.repeat(at, uses), np.repeat(known, uses)
+        # Places, with gaps between paragraphs that no window reaches across.
+        place = at + paragraph[at] * (int(self.reach.max()) + 1)
+        order = np.lexsort((place, template))
+        at, known, template, place = at[order], known[order], template[order], place[order]
+        key = template * (int(place.max()) + int(self.reach.max()) + 2) + place
+        end = np.searchsorted(key, key + self.reach[template])
+        out = []
+        for i in np.flatnonzero(end - np.arange(len(key)) >= self.need[template]):
+            kind, fresh = template[i], np.unique(known[i : end[i]], return_index=True)[1]
+            if len(fresh) >= self.need[kind]:
+                last = at[i + int(fresh.max())]
+                out.append((int(at[i]), int(last) + 2, int(self.family[kind]), len(fresh) / int(self.size[kind]), len(fresh)))
+        return out
+
+
+def notices(m: Model, finder: Finder, words: np.ndarray, first: np.ndarray, breaks: np.ndarray) -> list[tuple[int, int, int, float, float]]:
+    """First word, end, family, probability and overlap of the notices in lines; of overlapping ones the best.
+
+    ``breaks`` marks lines that start another text.
+    """
+    c, line = finder.c, np.repeat(np.arange(len(first) - 1), np.diff(first))
+    paragraph = np.cumsum((np.diff(first) == 0) | breaks)[line]
+    found = [(a, b, k, 1.0, 1.0, b - a) for a, b, k in finder.named(words, first)]
+    windows = finder.windows(words, paragraph) if len(words) > 1 else []
+    for i in range(0, len(windows), 1 << 12):
+        some = windows[i : i + (1 << 12)]
+        starts, ends = np.array([w[0] for w in some]), np.array([w[1] for w in some])
+        chance = _chances(m, words[ragged(starts, ends - starts)], np.concatenate([[0], np.cumsum(ends - starts)]), c)
+        best, sure = chance.argmax(1), chance.max(1)
+        found += [
+            (a, b, k, float(sure[j]), part, n) for j, (a, b, k, part, n) in enumerate(some) if best[j] == k and sure[j] >= c.least_probability
+        ]
+    taken, out = np.zeros(len(words), bool), []
+    for a, b, k, sure, part, _ in sorted(found, key=lambda x: (-x[4], -x[5], x[1] - x[0], x[0], x[2])):
+        if not taken[a:b].any():
+            taken[a:b] = True
+            out.append((a, b, k, sure, part))
+    return sorted(out)
+
+
 def _scanned(model, c: Licences):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = model.value
+        finder = Finder(m.grams, c)
         for batch in batches:
             data, bounds = text_bytes(batch.column("text"))
             docs, numbers, families, sure, alike = [], [], [], [], []
@@ -245,25 +433,19 @@ def _scanned(model, c: Licences):
                 breaks = np.flatnonzero(own == 10)
                 lines = np.unique(np.concatenate([edges, breaks + 1]))
                 words, first = words_of(own, lines)
-                grams, owner = grams_of(words, first, c.order)
-                bucket = (grams % np.uint64(c.buckets)).astype(np.int64)
-                count = len(lines) - 1
-                size = np.sqrt(np.maximum(1, np.bincount(owner, minlength=count)))
-                score = np.stack([np.bincount(owner, m.weights[bucket, k], count) for k in range(m.weights.shape[1])], 1)
-                score = (score / size[:, None] + m.bias) / m.temperature
-                score = np.exp(score - score.max(1, keepdims=True))
-                chance = score / score.sum(1, keepdims=True)
-                best = chance.argmax(1)
-                hit = np.flatnonzero((best < len(FAMILIES)) & (chance.max(1) >= c.least_probability) & (np.diff(first) > 1))
-                for at in hit:
-                    part = max(overlap(words[first[at] : first[at + 1]], g) for k, g in m.grams if k == best[at])
-                    if part >= c.least_overlap:
-                        doc = int(np.searchsorted(edges, lines[at], "right")) - 1
-                        docs.append(i + doc)
-                        numbers.append(int(np.searchsorted(breaks, lines[at]) - np.searchsorted(breaks, edges[doc])))
-                        families.append(FAMILIES[best[at]])
-                        sure.append(float(chance[at].max()))
-                        alike.append(part)
+                seen = set()
+                for a, _, k, chance, part in notices(m, finder, words, first, np.isin(lines[:-1], edges)):
+                    at = lines[np.searchsorted(first, a, "right") - 1]
+                    doc = int(np.searchsorted(edges, at, "right")) - 1
+                    number = int(np.searchsorted(breaks, at) - np.searchsorted(breaks, edges[doc]))
+                    if (doc, number, k) in seen:
+                        continue
+                    seen.add((doc, number, k))
+                    docs.append(i + doc)
+                    numbers.append(number)
+                    families.append(FAMILIES[k])
+                    sure.append(chance)
+                    alike.append(part)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(docs, pa.int64())), pa.array(numbers, pa.int64()), pa.array(families, pa.string()),
                  pa.array(sure, pa.float64()), pa.array(alike, pa.float64())],
@@ -274,10 +456,12 @@ def _scanned(model, c: Licences):
 
 
 def scan_licences(docs: DataFrame, licences: Licences = Licences()) -> DataFrame:
-    """One row per licence paragraph of ``docs``: doc_id, line (from 0), family, probability, overlap.
+    """One row per licence notice of ``docs``: doc_id, line (from 0) where it starts, family, probability, overlap.
 
-    ``docs`` needs ``doc_id`` and ``text``; further columns are ignored. A paragraph is a line. Null and empty texts and
-    blank lines give no rows; repeated rows give repeated rows. An empty table gives no rows.
+    ``docs`` needs ``doc_id`` and ``text``; further columns are ignored. A notice lies in one paragraph, a run of lines
+    that hold words, and may be wrapped or stand among other words; several are several rows, but one for each line and
+    family. Titles and SPDX identifiers have probability and overlap 1. Null and empty texts give no rows; repeated rows
+    give repeated rows. An empty table gives no rows.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     model = fit(corpus_sample(docs, licences), licences)

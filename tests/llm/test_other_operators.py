@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import textwrap
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -111,6 +112,38 @@ def test_licences_of_the_table(spark):
     assert {(r.doc_id, r.line) for r in queries.op2_license_scan(spark, SMALL).collect()} == want
 
 
+def test_wrapped_and_embedded_licences(spark):
+    grant = " ".join(licenses.PARAGRAPHS["MIT"][0].split())
+    wrapped = lambda x, mark="": textwrap.fill(x, 78, initial_indent=mark, subsequent_indent=mark)
+    whole = {
+        f: f"{licenses.TITLES[f][-1]}\n\nCopyright (c) 2020 Ann Author\n\n" + "\n\n".join(map(wrapped, licenses.PARAGRAPHS[f]))
+        for f in ("MIT", "BSD", "ISC", "GPL", "LGPL", "AGPL", "Apache", "MPL")
+    }
+    prose = " ".join(f"word{k % 97} of a story{k % 89}" for k in range(150))
+    rows = [(f, text) for f, text in whole.items()]
+    rows += [
+        ("lines", "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files, to deal\nin the Software without restriction."),
+        ("clause", wrapped(licenses.TEMPLATES["BSD"][0]).replace("\n", "\r\n")),
+        ("comment", "int a;\n" + wrapped(licenses.PARAGRAPHS["Apache"][0], " * ") + "\n *\n" + wrapped(licenses.PARAGRAPHS["Apache"][1], " * ")),
+        ("embedded", f"{prose} {grant} {prose} Released under the ISC License. {prose}"),
+        ("spdx", "// SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)\nx = 1\n/* SPDX-License-Identifier:MIT */"),
+        ("none", f"{prose}\nThe MIT licence list\nPermission is hereby\n\ngranted, free of charge,\n\nto any person\n{prose}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = defaultdict(list)
+    for r in licenses.scan_licences(docs).collect():
+        got[r.doc_id].append((r.line, r.family))
+    for family, text in whole.items():
+        starts = [k for k, x in enumerate(text.split("\n")) if k != 2 and x and (k == 0 or not text.split("\n")[k - 1])]
+        assert sorted(got[family]) == [(k, family) for k in starts], family
+    assert got["lines"] == [(0, "MIT")] and got["clause"] == [(0, "BSD")]
+    apache = 1 + len(wrapped(licenses.PARAGRAPHS["Apache"][0], " * ").split("\n")) + 1
+    assert sorted(got["comment"]) == [(1, "Apache"), (apache, "Apache")]
+    assert sorted(got["embedded"]) == [(0, "ISC"), (0, "MIT")]
+    assert sorted(got["spdx"]) == [(0, "BSD"), (0, "GPL"), (2, "MIT")]
+    assert got["none"] == []
+
+
 # Packing
 
 
