@@ -130,7 +130,7 @@ def _estimated(near: Near):
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                 for c in ("sig_a", "sig_b")
             )
-            yield batch.select(["a", "b"]).filter(pa.array(_equal_entries(a, b, near.bits) >= near.least_equal))
+            yield batch.select(["a", "h1_a", "b", "h1_b"]).filter(pa.array(_equal_entries(a, b, near.bits) >= near.least_equal))
 
     return run
 
@@ -150,11 +150,17 @@ def _tile_links(near: Near):
         signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(len(doc), -1)
         buckets = t.column("buckets").combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
         band, same = t.column("band")[0].as_py(), t.column("i")[0].as_py() == t.column("j")[0].as_py()
+        if not same and left.all() or component.min() == component.max():
+            return
+        held, names = zip(*_sets(t.column("text").combine_chunks(), near.width), strict=True)
+        # Other texts of the same doc_id are left out.
+        own = np.flatnonzero(np.array(names, np.int64) == t.column("h1").to_numpy())
+        left, doc, component, signature, buckets = (v[own] for v in (left, doc, component, signature, buckets))
+        held = [held[k] for k in own]
         x = np.flatnonzero(left)
         y = x if same else np.flatnonzero(~left)
-        if not len(y) or component.min() == component.max():
+        if not len(x) or not len(y):
             return
-        held = list(_sets(t.column("text").combine_chunks(), near.width))
         size = np.array([len(h) for h in held])
         vocabulary, index = np.unique(np.concatenate(held), return_inverse=True)
         first, mark = np.cumsum(size) - size, np.zeros(len(vocabulary), bool)
@@ -205,29 +211,35 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> I
         yield held
 
 
-def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
+def _sets(column: pa.Array, width: int) -> Iterator[tuple[np.ndarray, int]]:
+    """The shingles of each text, and its h1."""
     data, bounds = text_bytes(column)
     for i, j in slices(bounds, SLICE):
-        for hashes, _, _ in shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], width):
-            yield hashes
+        for hashes, one, _ in shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], width):
+            yield hashes, _signed(one)
 
 
 def _confirmed(near: Near):
-    """Pairs whose full sets are similar enough."""
+    """Pairs whose full sets are similar enough. Other texts of the same doc_id are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(*(_sets(batch.column(c), near.width) for c in ("text_a", "text_b")), strict=True):
+            named = (batch.column(c).to_pylist() for c in ("h1_a", "h1_b"))
+            sets = (_sets(batch.column(c), near.width) for c in ("text_a", "text_b"))
+            for h1_a, h1_b, (x, of_x), (y, of_y) in zip(*named, *sets, strict=True):
+                if h1_a != of_x or h1_b != of_y:
+                    keep.append(False)
+                    continue
                 common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                keep.append(100 * common >= near.percent * (len(x) + len(y) - common))
+                keep.append(common > 0 and 100 * common >= near.percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def confirmed_links(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
-    """Those of ``pairs`` (a, b) that the full sets of their texts (doc, text) confirm."""
+    """Those of ``pairs`` (a, h1_a, b, h1_b) that the full sets of their texts (doc, text) confirm, as a and b."""
     left = texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(_confirmed(near), "a long, b long")
@@ -239,7 +251,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     ``docs`` needs ``doc_id`` and ``text``; further columns are ignored. Words are runs of bytes other than
     0x20 and 0x09-0x0D with A-Z lower-cased. A text of fewer words than a shingle is one shingle;
     null, empty or blank texts have none and link with nothing. Rows that share a ``doc_id`` are
-    one node of the links; a null ``doc_id`` links with nothing and is kept. Copies of a
+    one node of the links, whatever their texts; a null ``doc_id`` links with nothing and is kept. Copies of a
     word sequence are linked through the smallest of them. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -278,12 +290,27 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     estimated = (
         stars.join(named.select(F.col("k").alias("ka"), F.col("signature").alias("sig_a")), "ka")
         .join(named.select(F.col("k").alias("kb"), F.col("signature").alias("sig_b")), "kb")
-        .select(F.col("ka.doc").alias("a"), F.col("kb.doc").alias("b"), "sig_a", "sig_b")
-        .mapInArrow(_estimated(near), "a long, b long")
-    )
+        .select(
+            F.col("ka.doc").alias("a"), F.col("ka.h1").alias("h1_a"), F.col("kb.doc").alias("b"), F.col("kb.h1").alias("h1_b"),
+            "sig_a", "sig_b",
+        )
+        .mapInArrow(_estimated(near), "a long, h1_a long, b long, h1_b long")
+    )
     texts = docs.where("doc_id is not null").select(F.col("doc_id").alias("doc"), "text")
     stars = stored(estimated.where("a <> b").distinct(), "star_candidates")
-    links = stored(confirmed_links(stars, texts, near), "star_links")
+    # A doc_id with several texts joins the representatives of all of them.
+    several = (
+        signed.where("doc_id is not null").groupBy("doc_id")
+        .agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.count_if(F.col("h1").isNull()).alias("blank"))
+        .where("lo <> hi or lo is not null and blank > 0").select("doc_id")
+    )
+    owned = stored(
+        able.select("doc_id", "h1", "h2").join(several, "doc_id").distinct().join(copies, ["h1", "h2"])
+        .select("doc_id", F.col("doc").alias("rep")),
+        "several_texts",
+    )
+    own_links = owned.where("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    links = stored(confirmed_links(stars, texts, near).unionByName(own_links), "star_links")
     placed = stored(components(links), "star_components")
 
     member = members.join(shared.where("size > 2"), "bucket").join(
@@ -302,7 +329,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
         .select(
             "bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-            (F.col("tile") <= F.col("other")).alias("left"), "doc", "component", "band", "signature", "buckets", "text",
+            (F.col("tile") <= F.col("other")).alias("left"), "doc", "h1", "component", "band", "signature", "buckets", "text",
         )
         .repartition(spread(spark), "bucket", "i", "j")
         .sortWithinPartitions("bucket", "i", "j")
@@ -322,7 +349,12 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
         .join(joined.select(F.col("node").alias("c1"), F.col("component").alias("c2")), "c1", "left")
         .select(F.col("doc").alias("rep"), F.coalesce("c2", "c1").alias("component_id"))
     )
-    chosen = signed.join(copies.withColumnRenamed("doc", "rep"), ["h1", "h2"], "left").join(final, "rep", "left")
+    # A blank text goes with the other texts of its doc_id.
+    ids, blank = signed.select("doc_id", "n_shingles", "h1", "h2"), F.col("n_shingles") == 0
+    placed_rows = ids.where(~blank).join(copies.withColumnRenamed("doc", "rep"), ["h1", "h2"], "left").unionByName(
+        ids.where(blank).join(owned.groupBy("doc_id").agg(F.min("rep").alias("rep")), "doc_id", "left")
+    )
+    chosen = placed_rows.join(final, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return chosen.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")

@@ -103,6 +103,23 @@ def test_near_duplicates_of_a_group_below_the_threshold(spark):
     assert got == want
 
 
+def test_near_duplicates_of_repeated_ids_with_different_texts(spark):
+    one, two, three, four = (" ".join(words(k, 60)) for k in (21, 22, 23, 24))
+    rows = [(1, one), (5, one), (5, two), (5, ""), (7, two), (20, three), (21, four), (30, three), (30, four), (40, ""), (41, None)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(documents(spark, rows)).collect())
+    want = {1: 1, 5: 1, 7: 1, 20: 20, 21: 20, 30: 20, 40: 40, 41: 41}
+    assert got == sorted((d, want[d], want[d] == d) for d, _ in rows)
+
+
+def test_near_duplicates_do_not_compare_blank_texts_of_repeated_ids(spark):
+    """Candidates whose own texts are too different, while their blank rows would be equal."""
+    near = Near(percent=90, bands=64, rows=1, deviations=50.0)
+    base = words(31, 300)
+    rows = [(k, " ".join(base[k * 20 : k * 20 + 150])) for k in range(4)] + [(k, "") for k in range(4)]
+    got = near_duplicates(documents(spark, rows), near).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((d, d) for d, _ in rows)
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     assert near_duplicates(documents(spark, [])).count() == 0
 
