@@ -1,10 +1,10 @@
-"""Removal of repeated line runs by a distributed suffix array over line ids. Native operations only.
+"""Removal of repeated line runs by hashes of shortest runs of lines. Native operations only.
 
-A document is the sequence of the ids of its lines that hold a word. Prefix doubling names every run of 1, 2,
-4, ... lines from the names of its halves, which is the refinement of a suffix array with names for ranks: suffixes
-that share a name form one interval of the array whose common prefix is at least the run. A run of
-any length is named by the two overlapping names that cover it. An interval whose first member
-starts elsewhere shows a repeat, and the lines of its later members are deleted.
+This replaces a suffix array over line ids: there are no ranks, no order of suffixes and no common prefixes.
+
+A document is the sequence of the ids of its lines that hold a word. Doubling names every run of 1, 2, 4, ... lines by
+a hash of the names of its halves; a run of any length is named by the two overlapping names that cover it. Runs are
+grouped by name, and the lines of all members but the first are deleted.
 
 A maximal repeated run counts if it has at least ``least_words`` words. Every line of such a run lies in a shortest
 run of that many words that starts or ends at a line, so two runs per line decide exactly which lines go. Shortest
