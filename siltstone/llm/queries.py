@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.bbit_minhash import near_duplicates
 from siltstone.llm.chat_tree import format_chats, read_chats
+from siltstone.llm.divergence import divergence
 from siltstone.llm.embedding_dedup import similar_vectors
 from siltstone.llm.frames import table
 from siltstone.llm.licenses import scan_licences
 from siltstone.llm.line_runs import drop_repeated_lines
+from siltstone.llm.merkle import FIELDS, digest, proof_digest, proofs, verified
 from siltstone.llm.mixing import mix_sources
 from siltstone.llm.packing import pack
+from siltstone.llm.phrase_index import contamination
 from siltstone.llm.repetition import quality
 from siltstone.llm.suffix_levels import drop_repeated_strings
 from siltstone.llm.warc import archived_pages, page_records, write_archives
@@ -94,3 +97,30 @@ def op9_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaf = digest(*[docs[f] for f in FIELDS])
+    cut = digest(*[F.replace("text", F.lit("\n"), F.lit("")) if f == "text" else docs[f] for f in FIELDS])
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 2 == 0
+    rows = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(tampered, cut).otherwise(leaf).alias("presented"))
+    found = verified(proofs(rows, "source", "doc_id", "leaf"), "presented")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("segments")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+@registered
+def op12_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@registered
+def op13_spimi_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
