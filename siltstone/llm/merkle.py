@@ -179,10 +179,12 @@ def _jumped(nodes: DataFrame, tops: DataFrame) -> DataFrame:
             "then_level AS up_level", "then_idx AS up_idx", "coalesce(subroot, their_subroot) AS subroot",
             "coalesce(root, their_root) AS root",
         )
-        live = stored(moved.unionByName(live.where(f"tree = {TOP} AND up_tree IS NULL")), "jumps")
+        # Inner nodes that have reached the root already are still what others jump to.
+        ready = live.where(f"up_tree IS NULL AND (tree = {TOP} OR level % {2 * span} = 0)")
+        live = stored(moved.unionByName(ready), "jumps")
         leaf = f"tree <> {TOP} AND level = 0"
         done.append(live.where(f"{leaf} AND up_tree IS NULL"))
-        live = live.where(f"tree = {TOP} OR up_tree IS NOT NULL")
+        live = live.where(f"NOT ({leaf} AND up_tree IS NULL)")
         if live.where(leaf).isEmpty():
             break
         span *= 2
