@@ -127,13 +127,15 @@ def find(index: DataFrame, named: DataFrame, slop: int = 0) -> DataFrame:
     ``found`` the phrases. A document can have several rows, for different phrases. A match with ``slop`` covers the phrase's
     length from where its rarest term says that it starts. Phrases of up to ``GAP`` words, with twice the slop, can be sought.
     """
-    postings = index.where(F.col("kind") == POSTINGS)
     longest = named.agg(F.max(F.size("terms"))).first()[0] or 0
     if longest + 2 * slop > GAP:
         raise ValueError(f"phrases and slop reach further than {GAP} words")
     slots = named.select("phrase", F.size("terms").alias("size"), F.posexplode("terms").alias("pos", "term"))
     vocabulary = stored(slots.select("term").distinct(), "vocabulary")
-    counted = postings.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("total"))
+    # What the phrases do not use stays where it is; the rest is all that is looked at from here on.
+    used = index.where(F.col("kind") == POSTINGS).join(vocabulary, "term", "left_semi")
+    postings = stored(used.select("block", "term", "n", "places"), "postings")
+    counted = postings.groupBy("term").agg(F.sum("n").alias("total"))
     ranked = slots.select("phrase", "size", "term").distinct().join(stored(counted, "totals"), "term")
     terms = F.sort_array(F.collect_list(F.struct("total", "term")))
     rare = ranked.groupBy("phrase").agg(terms.alias("rare"), F.count(F.lit(1)).alias("n"))
