@@ -2,8 +2,8 @@
 
 Tasks read texts into an in-memory index of (term, group) postings until it is full, spill it as a run sorted by
 term and cut by hash shard, and start anew. Runs are dealt out by shard; a task takes the pieces of a shard in the order
-of their first term and merges them with a heap, so that only overlapping pieces are open. Its frequencies
-are exact, and terms of too few documents go there and then.
+of their first term and merges them with a heap of the open ones, many postings at a time, so that only overlapping
+pieces are held. Its frequencies are exact, and terms of too few documents go there and then.
 
 Smoothed frequencies make a pair of sources differ in every term of their language, also in those that neither has.
 The sum over all terms starts from that constant and is corrected: for the terms one source has (grouped by
@@ -13,11 +13,13 @@ equal frequency), and, streaming through the frequencies term by term, for those
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ from siltstone.session import stored
 SLICE = 1 << 22  # bytes of text that are indexed at a time
 MEMORY = 1 << 26  # bytes of an in-memory index before it is spilled
 PIECE = 1 << 10  # postings in a piece of a run
+FLUSH = 1 << 16  # postings that are merged at a time
 PAIRS = 1 << 20  # pairs of sources in the corrections at a time
 SCALE = 1_000_000_000
 ENTRY, TERM = 32, 120  # estimated bytes of a posting and of a term in the lexicon
@@ -67,25 +70,32 @@ class Block:
         sums = np.add.reduceat(every[2:], new, axis=1) if len(new) else every[2:]
         self.postings, self.fresh = np.concatenate([every[:2, new], sums]), []
 
-    def run(self, shards: int) -> Iterator[tuple[int, list[tuple[str, str, str, int, int]]]]:
-        """Pieces (shard, postings) in the order of terms, then languages and sources."""
+    def run(self, shards: int, number: int, piece: int) -> pa.RecordBatch:
+        """All postings as pieces of one shard and at most ``piece`` each, in the order of terms, then languages and sources."""
         self._add_up()
-        names, groups = list(self.terms), list(self.groups)
-        term, group, count, docs = self.postings.tolist()
-        rows = sorted((names[t], *groups[g], c, d) for t, g, c, d in zip(term, group, count, docs, strict=True))
-        dealt: dict[int, list] = {}
-        for row in rows:
-            shard = crc32(row[0].encode()) % shards
-            dealt.setdefault(shard, []).append(row)
-            if len(dealt[shard]) == PIECE:
-                yield shard, dealt.pop(shard)
-        yield from dealt.items()
+        names, groups = pa.array(list(self.terms), pa.string()), list(self.groups)
+        shard = np.array([crc32(t.encode()) % shards for t in self.terms], np.int64)
+        rank = np.argsort(np.asarray(pc.sort_indices(names)))
+        place = np.argsort(np.array(sorted(range(len(groups)), key=groups.__getitem__), np.int64))
+        term, group, count, docs = self.postings
+        order = np.lexsort((place[group], rank[term], shard[term]))
+        term, group, count, docs = term[order], group[order], count[order], docs[order]
+        new = np.flatnonzero(np.diff(shard[term], prepend=-1))
+        size = np.diff(new, append=len(term))
+        cuts = np.concatenate([np.arange(a, a + n, piece) for a, n in zip(new, size, strict=True)])
+        offsets = pa.array(np.append(cuts, len(term)), pa.int32())
+        lang, source = (pa.array([g[k] for g in groups], pa.string()).take(pa.array(group)) for k in (0, 1))
+        texts = names.take(pa.array(term))
+        lists = [pa.ListArray.from_arrays(offsets, x) for x in (texts, lang, source, pa.array(count), pa.array(docs))]
+        ids = [pa.array(shard[term[cuts]], pa.int32()), pa.array(np.full(len(cuts), number)), texts.take(pa.array(cuts))]
+        return pa.RecordBatch.from_arrays([*ids, *lists], schema=PIECES)
 
 
 PIECES = pa.schema([
     ("shard", pa.int32()), ("run", pa.int64()), ("first", pa.string()), ("term", pa.list_(pa.string())),
     ("lang", pa.list_(pa.string())), ("source", pa.list_(pa.string())), ("n", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())),
 ])
+POSTING = ("term", "lang", "source", "n", "docs")
 PIECES_DDL = (
     "shard int, run long, first string, term array<string>, lang array<string>, source array<string>, n array<long>, docs array<long>"
 )
@@ -95,12 +105,6 @@ FREQUENCIES_DDL = "lang string, term string, source string, n long, lang_n long,
 def runs(docs: DataFrame, shards: int, memory: int = MEMORY) -> DataFrame:
     """Term-sorted runs of (lang, source, text), as pieces of one hash shard each."""
 
-    def spilled(block: Block, run: int) -> Iterator[pa.RecordBatch]:
-        for shard, rows in block.run(shards):
-            columns = [[list(c)] for c in zip(*rows, strict=True)]
-            values = [[shard], [run], [rows[0][0]], *columns]
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, PIECES, strict=True)], schema=PIECES)
-
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, block = TaskContext.get().partitionId() << 32, Block()
         for batch in batches:
@@ -114,35 +118,73 @@ def runs(docs: DataFrame, shards: int, memory: int = MEMORY) -> DataFrame:
                 group = [block.groups.setdefault(n, len(block.groups)) for n in names[first:last]]
                 block.add(terms.to_pylist(), codes, doc, np.array(group, np.int64))
                 if block.held() > memory:
-                    yield from spilled(block, run)
+                    yield block.run(shards, run, PIECE)
                     run, block = run + 1, Block()
         if block.terms:
-            yield from spilled(block, run)
+            yield block.run(shards, run, PIECE)
 
     return docs.select("lang", "source", "text").mapInArrow(indexed, PIECES_DDL)
 
 
-def merged(pieces: Iterator[dict]) -> Iterator[tuple[str, str, str, int, int]]:
-    """Postings in order of pieces in order of (shard, first term); only those that overlap are open."""
-    heap: list[tuple] = []
-    shard, opened = None, 0
+def _below(terms: pa.ChunkedArray, bound: str) -> int:
+    """How many of the ascending terms are smaller than ``bound``."""
+    return bisect_left(range(len(terms)), bound, key=lambda i: terms[i].as_py())
+
 
-    def ready(bound: str | None) -> Iterator[tuple]:
-        while heap and (bound is None or heap[0][0][0] < bound):
-            row, number, rest = heap[0]
-            yield row
-            after = next(rest, None)
-            if after is None:
-                heapq.heappop(heap)
-            else:
-                heapq.heapreplace(heap, (after, number, rest))
+def merged(pieces: Iterable[tuple[int, str, pa.Table]], least: int = FLUSH) -> Iterator[pa.Table]:
+    """Postings of complete terms, about ``least`` at a time, from pieces (shard, first term, postings) in that order.
 
-    for piece in pieces:
-        yield from ready(piece["first"] if piece["shard"] == shard else None)
-        shard, opened = piece["shard"], opened + 1
-        rows = zip(*(piece[c] for c in ("term", "lang", "source", "n", "docs")), strict=True)
-        heapq.heappush(heap, (next(rows), opened, rows))
-    yield from ready(None)
+    A heap holds the open pieces by their next term. Terms below the first one of the piece to come are complete: the heads
+    of the pieces that hold some are taken off, and what is left of a piece goes back. Only overlapping pieces are open.
+    """
+    heap: list[tuple[str, int, pa.Table]] = []
+    shard, waiting, number = None, 0, 0
+
+    def ready(bound: str | None) -> pa.Table:
+        nonlocal number
+        heads = []
+        while heap and (bound is None or heap[0][0] < bound):
+            _, _, piece = heapq.heappop(heap)
+            cut = len(piece) if bound is None else _below(piece["term"], bound)
+            heads.append(piece.slice(0, cut))
+            if cut < len(piece):
+                number += 1
+                heapq.heappush(heap, (piece["term"][cut].as_py(), number, piece.slice(cut)))
+        return pa.concat_tables(heads)
+
+    for own, first, piece in pieces:
+        bound = first if own == shard else None
+        if heap and (bound is None or waiting >= least and heap[0][0] < bound):
+            yield ready(bound)
+            waiting = sum(len(p) for _, _, p in heap)
+        number += 1
+        heapq.heappush(heap, (first, number, piece))
+        shard, waiting = own, waiting + len(piece)
+    if heap:
+        yield ready(None)
+
+
+def _reduced(postings: pa.Table, least_docs: int) -> list[pa.Array]:
+    """Columns of the frequencies, of terms in enough documents, from all postings of some terms."""
+    names, codes = {}, {}
+    for c in ("term", "lang", "source"):
+        coded = postings[c].combine_chunks().dictionary_encode()
+        names[c], codes[c] = coded.dictionary, np.asarray(coded.indices).astype(np.int64)
+    per_lang = codes["term"] * len(names["lang"]) + codes["lang"]
+    key = per_lang * len(names["source"]) + codes["source"]
+    order = np.argsort(key, kind="stable")
+    key, per_lang = key[order], per_lang[order]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    n, docs = (np.add.reduceat(np.asarray(postings[c])[order], new) for c in ("n", "docs"))
+    key, per_lang = key[new], per_lang[new]
+    lead = np.diff(per_lang, prepend=-1) != 0
+    first = np.flatnonzero(lead)
+    size = np.diff(first, append=len(key))
+    enough = np.repeat(np.add.reduceat(docs, first) >= least_docs, size)
+    total = np.repeat(np.add.reduceat(n, first), size)
+    at = {"source": key % len(names["source"]), "lang": per_lang % len(names["lang"]), "term": per_lang // len(names["lang"])}
+    lang, term, source = (names[c].take(pa.array(at[c][enough])) for c in ("lang", "term", "source"))
+    return [lang, term, source, pa.array(n[enough]), pa.array(total[enough]), pa.array(lead[enough])]
 
 
 def frequencies(docs: DataFrame, least_docs: int = 3, shards: int | None = None, memory: int = MEMORY) -> DataFrame:
@@ -154,34 +196,16 @@ def frequencies(docs: DataFrame, least_docs: int = 3, shards: int | None = None,
     pieces = runs(docs, shards or 8 * parts, memory)
     pieces = pieces.repartition(parts, "shard").sortWithinPartitions("shard", "first", "run")
 
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, pa.Table]]:
+        for batch in batches:
+            for k in range(len(batch)):
+                columns = {c: batch.column(c)[k].values for c in POSTING}
+                yield batch.column("shard")[k].as_py(), batch.column("first")[k].as_py(), pa.table(columns)
+
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        term, counts = None, {}
-
-        def done() -> None:
-            for lang, (found, sources) in counts.items():
-                if found >= least_docs:
-                    total = sum(sources.values())
-                    out.extend((lang, term, s, n, total, k == 0) for k, (s, n) in enumerate(sources.items()))
-
-        def batch() -> pa.RecordBatch:
-            fields = [("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("n", pa.int64()), ("lang_n", pa.int64())]
-            fields.append(("lead", pa.bool_()))
-            columns = list(zip(*out, strict=True)) or [()] * len(fields)
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], schema=pa.schema(fields))
-
-        for name, lang, source, n, found in merged(row for b in batches for k in range(len(b)) for row in b.slice(k, 1).to_pylist()):
-            if name != term:
-                done()
-                term, counts = name, {}
-                if len(out) > PIECE * 32:
-                    yield batch()
-                    out.clear()
-            of = counts.setdefault(lang, [0, {}])
-            of[0] += found
-            of[1][source] = of[1].get(source, 0) + n
-        done()
-        yield batch()
+        names = [part.split()[0] for part in FREQUENCIES_DDL.split(", ")]
+        for postings in merged(opened(batches)):
+            yield pa.RecordBatch.from_arrays(_reduced(postings, least_docs), names=names)
 
     return stored(pieces.mapInArrow(reduced, FREQUENCIES_DDL), "frequencies")
 
@@ -264,7 +288,7 @@ def _changes(table: pa.Table) -> np.ndarray:
         same = np.ones(len(table) - 1, bool)
         for name in ("lang", "term"):
             column = table[name].combine_chunks()
-            same &= np.asarray(pa.compute.equal(column.slice(1), column.slice(0, len(table) - 1)))
+            same &= np.asarray(pc.equal(column.slice(1), column.slice(0, len(table) - 1)))
         new[1:] = ~same
     return new
 
