@@ -19,6 +19,19 @@ def spread(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def sheltered(docs: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns that are named like one of ``names`` under free names, and those names by the old ones."""
+    used, moved = {c.lower() for c in docs.columns} | names, {}
+    for column in docs.columns:
+        if column.lower() in names:
+            free = f"{column}_own"
+            while free.lower() in used:
+                free += "_"
+            used.add(free.lower())
+            moved[column] = free
+    return docs.withColumnsRenamed(moved), moved
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, component) with the smallest node of each.
 

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import LAST
+from siltstone.llm.frames import LAST, sheltered
 
 LEAST_WORDS = 10
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -95,11 +95,10 @@ def drop_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
     Adds ``removed_lines`` (long). Of equal runs the one in the smallest ``doc_id``, and there the first line, stays; a
     null ``doc_id`` counts as the largest. Lines are split at \\n and compared as they are; lines without a word are
     no part of runs and stay. A null text stays null. Rows that are equal in ``doc_id`` and text are treated
-    alike. An empty table gives no rows. Columns named like those added here raise a ValueError.
+    alike. An empty table gives no rows. Other columns come back as they are, whatever their names, but for
+    a ``removed_lines`` that was there.
     """
-    own = {"pos_", "text_hash_", "gone_", "removed_lines"}
-    if clash := own & set(docs.columns):
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    docs, moved = sheltered(docs.drop("removed_lines"), {"pos_", "text_hash_", "gone_"})
     gone = repeated_lines(docs.select("doc_id", "text"), least_words).select(
         F.col("pos").alias("pos_"), F.col("text_hash").alias("text_hash_"), F.col("gone").alias("gone_")
     )
@@ -107,4 +106,5 @@ def drop_repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> Data
     text = F.when(F.col("gone_").isNull(), F.col("text")).otherwise(_without(F.split("text", "\n", -1), F.col("gone_")))
     removed = F.coalesce(F.size("gone_"), F.lit(0)).cast("long")
     wide = wide.withColumn("removed_lines", F.when(F.col("gone_").isNull(), 0).otherwise(removed).cast("long"))
-    return wide.withColumn("text", text).select(*docs.columns, "removed_lines")
+    wide = wide.withColumn("text", text).select(*[f"`{c}`" for c in docs.columns], "removed_lines")
+    return wide.withColumnsRenamed({free: name for name, free in moved.items()})

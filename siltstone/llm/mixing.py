@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.frames import spread
+from siltstone.llm.frames import sheltered, spread
 from siltstone.session import stored
 
 LARGEST_RATE = 256.0  # above, a count is the sum of several draws, so that exp(-rate) stays a normal number
@@ -62,12 +62,10 @@ def mix_sources(
     Adds ``copy`` (0, 1, ...; an existing column of that name is replaced). The output has about ``epochs`` times the
     text of the input. Sources missing in ``weights`` and sources without text are left out; a null source is a
     source like others, and its key in ``weights`` is None. Draws depend on ``doc_id`` alone, or on the text where that is
-    null, so repeated rows have equal counts. A null text counts as empty. An empty table gives no rows.
+    null, so repeated rows have equal counts. A null text counts as empty. An empty table gives no rows. Other columns
+    come back as they are, whatever their names.
     """
-    docs = docs.drop("copy")
-    own = {"source_", "rate_", "draws_", "below_", "order_"}
-    if clash := own & set(docs.columns):
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    docs, moved = sheltered(docs.drop("copy"), {"source_", "draws_", "below_", "order_"})
     rates = source_rates(docs.select("source", "text"), weights, epochs).select(
         F.col("source").alias("source_"), F.col("draws").alias("draws_"), F.col("below").alias("below_")
     )
@@ -79,4 +77,4 @@ def mix_sources(
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("draws_") - 1)))
     mixed = copies.withColumn("order_", F.xxhash64(F.lit(seed), key, "copy"))
     mixed = mixed.repartition(spread(docs.sparkSession), "order_").sortWithinPartitions("order_")
-    return mixed.select(*docs.columns, "copy")
+    return mixed.select(*[f"`{c}`" for c in docs.columns], "copy").withColumnsRenamed({free: name for name, free in moved.items()})

@@ -188,7 +188,7 @@ def _verdict(rules: Rules) -> list:
 
 
 def good_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns. The texts are measured where they are read."""
+    """The rows of ``docs`` that pass, with all their columns, whatever their names. The texts are measured where they are read."""
     kind = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">"
 
     @F.arrow_udf(kind)
@@ -198,7 +198,7 @@ def good_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         return pa.StructArray.from_arrays(out.columns, names=list(COUNTS))
 
     name = "measured"
-    while name in docs.columns:
+    while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
     marked = docs.withColumn(name, measured(F.col("text").cast("string")))
     counts = marked.select("*", *(F.col(f"{name}.{c}").alias(f"{name}_{c}") for c in COUNTS))
@@ -209,4 +209,4 @@ def good_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         & (100 * F.col(f"{name}_n_covered_words") <= rules.covered_percent * n)
         & (100 * F.col(f"{name}_longest_repeat") <= rules.longest_percent * n)
     )
-    return counts.where(ok).select(*docs.columns)
+    return counts.where(ok).select(*[f"`{c}`" for c in docs.columns])

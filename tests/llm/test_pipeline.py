@@ -7,6 +7,7 @@ import math
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_text_operators import WORD, deduped_lines, documents, linked, measured, odd_texts
 from tokenizers import Tokenizer
 
@@ -75,3 +76,22 @@ def test_pipeline_runs_on_odd_and_empty_tables(spark, tmp_path):
         docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
         out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
         assert (out.count() > 0) == (name == "odd")
+
+
+def test_stages_give_back_columns_of_any_name(spark):
+    names = [
+        "copy", "measured_n_words", "measured", "pos_", "removed_lines", "source_", "rate_", "order_", "draws_", "below_", "gone_",
+        "text_hash_", "kept_id", "row", "other_columns", "kept", "component_id", "n_words", "a.b", "pos__own",
+    ]
+    text = " ".join(f"w{k % 61}x{k}" for k in range(80))
+    lines = "\n".join(" ".join(f"l{j}k{k}" for k in range(12)) for j in range(12))
+    rows = [(1, text, "en", "s", 1), (2, f"{text} more", "en", "s", 2), (3, lines, "de", "t", 3), (4, f"{lines}\nown " + text[::-1], "de", None, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{k}:"), F.col("doc_id").cast("string")))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        kept = out.collect()
+        assert kept and all(r[name] == f"{k}:{r.doc_id}" for r in kept for k, name in enumerate(names))
+    assert corpus_pipeline.packing(spark, docs, SMALL).count() >= 4

@@ -231,8 +231,10 @@ def test_repeated_lines(spark, least):
 
 def test_repeated_lines_of_odd_tables(spark):
     assert drop_repeated_lines(documents(spark, [])).count() == 0
-    with pytest.raises(ValueError, match="gone_"):
-        drop_repeated_lines(documents(spark, []).withColumnRenamed("part", "gone_"))
+    named = documents(spark, [(1, "a b c\na b c"), (2, "a b c")]).withColumnsRenamed({"part": "gone_", "pos": "POS_", "kept": "removed_lines"})
+    got = drop_repeated_lines(named, 3)
+    assert got.columns == ["doc_id", "text", "gone_", "POS_", "source", "removed_lines"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a b c", "x", 1, "src", 1), (2, "", "x", 2, "src", 1)]
     with pytest.raises(ValueError):
         drop_repeated_lines(documents(spark, []), 0)
 
