@@ -118,6 +118,7 @@ UNION ALL
 SELECT 'events', max(ts), count(*) FILTER (ts > (SELECT date_trunc('second', max(ts)) FROM events)), 'SUCCESS',
        count(*) + 2 * count(*) FILTER (ts > (SELECT date_trunc('second', max(ts)) FROM events))
 FROM events""",
+    "equal_depth_ranges": "SELECT 16 AS ranges, count(*) AS orders, count(*) AS in_ranges, true AS within_two FROM orders",
     "ingest_work_list": with_relations("""
 SELECT c_mktsegment AS schema_name, c_name AS table_name, 'o_orderdate' AS cdc_column,
        strftime(coalesce(w.last_load_timestamp, TIMESTAMP '1900-01-01 00:00:00'), '%Y-%m-%d %H:%M:%S') AS watermark_date
@@ -174,6 +175,16 @@ FROM (SELECT *, o_orderstatus = 'O' AND o_custkey IN (
     "upsert_moves_partition": with_relations(
         "SELECT *, CAST(year(l_shipdate) AS INTEGER) AS ship_year FROM merged_lines"
     ),
+    "upsert_bucketed": with_relations("SELECT * FROM merged_lines"),
+    "last_operation_metrics": with_relations("""
+SELECT 'lines' AS table_name, 2 AS version, 'UPSERT' AS operation, count(*) AS rows_read,
+       count(*) FILTER (s.l_orderkey IS NULL) AS rows_inserted, count(s.l_orderkey) AS rows_updated
+FROM incoming_lines i LEFT JOIN stored_lines s
+  ON i.l_orderkey = s.l_orderkey AND i.l_linenumber = s.l_linenumber
+UNION ALL SELECT 'closed_lines', 1, 'CREATE', count(*), count(*), 0 FROM stored_lines"""),
+    "stream_replayed": with_relations("""
+SELECT 'lineitem' AS table_name, (SELECT count(*) FROM lineitem WHERE l_linestatus = 'F') AS rows_read,
+       (SELECT count(*) FROM stored_lines) AS rows_written, 'SUCCESS' AS status, '0' AS batch_id, 1 AS snapshots"""),
     "stream_upsert": with_relations("SELECT * FROM merged_lines"),
     "stream_batch_cuts": with_relations("SELECT * FROM latest_lines"),
     "stream_schema_guard": with_relations("""
@@ -248,16 +259,23 @@ LEFT JOIN tracks AS dimtrack ON factstream.track_id = dimtrack.track_id"""),
     "declared_range_join": with_relations("""
 SELECT f.stream_id, f.listen_duration, t.track_name, t.duration_sec
 FROM streams f LEFT JOIN tracks t ON f.track_id = t.track_id AND f.listen_duration < t.duration_sec"""),
+    "declared_or_join": with_relations("""
+SELECT f.stream_id, f.device_type, t.track_id, t.album_name
+FROM streams f LEFT JOIN tracks t ON f.track_id = t.track_id
+  AND (f.listen_duration > t.duration_sec OR f.device_type = 'or' OR t.album_name LIKE '%1')"""),
+    "fact_refreshed": with_relations(fact("dim_user_second", "dim_artist_second")),
     "full_run_fact": with_relations(FRESH + fact("fresh_users", "fresh_artists")),
     "pk_null_checks": with_relations(CHECKED + "SELECT * FROM pk_nulls"),
     "row_drift": with_relations(CHECKED + "SELECT * FROM row_drift"),
     "fk_checks": with_relations(CHECKED + "SELECT * FROM fk_checks"),
     "fk_orphans": with_relations(CHECKED + "SELECT user_id AS orphan_key FROM orphan_users"),
     "quality_log": with_relations(CHECKED + ALL_CHECKS),
+    "quality_incremental": with_relations(CHECKED + ALL_CHECKS),
     "quality_run": with_relations(CHECKED + ALL_CHECKS),
     "run_log_listing": RUN_LOG + " ORDER BY event_timestamp DESC",
     "run_log_recent": RUN_LOG + " ORDER BY event_timestamp DESC, table_name, batch_id LIMIT 20",
     "failed_run_windows": f"SELECT * FROM ({WINDOWS}) WHERE failed_runs > 1",
+    "failure_alerts_stream": f"SELECT window_start, window_end FROM ({WINDOWS}) WHERE failed_runs > 1",
     "failed_run_windows_stream": f"""
 SELECT * FROM ({WINDOWS})
 WHERE window_end <= (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 10 MINUTES""",

@@ -36,14 +36,29 @@ from siltstone.operators.keyed import (
 from siltstone.operators.scd2 import attribute_hash, scd2_apply, scd2_changes
 from siltstone.plans import control, listening, runs
 from siltstone.plans.listening import ARTIST_DIMENSION, FOREIGN_KEYS, RULES, USER_DIMENSION, VIEWS
+from siltstone.plans.profiles import current_profiles
 from siltstone.session import fresh_dir, stored, tune
-from siltstone.sinks.logs import failure_windows, newest_first, recent_runs
+from siltstone.sinks.ledger import Ledger, last_operation
+from siltstone.sinks.logs import (
+    ALERT_DDL,
+    failure_alerts,
+    failure_windows,
+    newest_first,
+    recent_runs,
+)
 from siltstone.sinks.publish import publish_table
-from siltstone.sinks.upsert import upsert_table
-from siltstone.sources.incremental import ParquetSource, changed_since, land, measure
+from siltstone.sinks.upsert import read_state, upsert_table
+from siltstone.sources.incremental import (
+    ParquetSource,
+    changed_since,
+    depth_bounds,
+    land,
+    measure,
+    range_predicates,
+)
 from siltstone.sources.tables import inline_rows
 from siltstone.specs import JoinSpec, Layers, TableSpec, table_specs
-from siltstone.streaming.ingest import ingest_stream
+from siltstone.streaming.ingest import ingest_batch, ingest_stream, query_id
 from siltstone.streaming.schema import read_pinned
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +98,20 @@ def extract_watermark(t: Tables) -> DataFrame:
     return measure(changed_since(t("orders"), ORDERS, WATERMARK), ORDERS)
 
 
+@registered
+def equal_depth_ranges(t: Tables) -> DataFrame:
+    """Orders cut into sixteen ranges by price, as a relational source would be read."""
+    orders = t("orders")
+    predicates = range_predicates("o_totalprice", depth_bounds(orders, "o_totalprice", 16))
+    counts = [F.count_if(F.expr(p)) for p in predicates]
+    return orders.agg(
+        F.lit(len(predicates)).alias("ranges"),
+        F.count(F.lit(1)).alias("orders"),
+        reduce(lambda a, b: a + b, counts).alias("in_ranges"),
+        (F.greatest(*counts) <= 2 * F.least(*counts)).alias("within_two"),
+    )
+
+
 @registered
 def extract_to_bronze(t: Tables) -> DataFrame:
     """Load log after extracting two source tables three times, the later ones finding nothing."""
@@ -241,6 +270,35 @@ def upsert_moves_partition(t: Tables) -> DataFrame:
     return t.spark.table(table)
 
 
+@registered
+def upsert_bucketed(t: Tables) -> DataFrame:
+    """A table laid out by key buckets, of which a second batch of some keys hits a few, and a third all."""
+    layers = own_layers(t)
+    table = layers.silver_table("lines")
+    incoming = stored(_latest_lines(t, "O"), "incoming")
+    newest = incoming.agg(F.max("l_shipdate")).first()[0]
+    for batch in (_latest_lines(t, "F"), incoming.filter(F.col("l_shipdate") == newest), incoming):
+        upsert_table(batch.persist(), table, LINE_KEYS, buckets=16)
+        batch.unpersist()
+    return read_state(t.spark, table)
+
+
+@registered
+def last_operation_metrics(t: Tables) -> DataFrame:
+    """What the ledger says of the last of two upserts into one table, and of a single one into another."""
+    layers = own_layers(t)
+    ledger = Ledger(t.spark, layers.metadata_table(control.OPERATIONS))
+    tables = [layers.silver_table(name) for name in ("lines", "closed_lines")]
+    for table, status in ((tables[0], "F"), (tables[1], "F"), (tables[0], "O")):
+        batch = _latest_lines(t, status).persist()
+        upsert_table(batch, table, LINE_KEYS, buckets=8, ledger=ledger)
+        batch.unpersist()
+    return last_operation(t.spark.table(ledger.name), tables).select(
+        F.regexp_extract("table_name", "[^.]+$", 0).alias("table_name"), "version", "operation",
+        "rows_read", "rows_inserted", "rows_updated",
+    )
+
+
 @registered
 def stream_upsert(t: Tables) -> DataFrame:
     """Two landings streamed into a silver table, the later one winning."""
@@ -251,6 +309,24 @@ def stream_upsert(t: Tables) -> DataFrame:
     return t.spark.table(layers.silver_table(spec.name))
 
 
+@registered
+def stream_replayed(t: Tables) -> DataFrame:
+    """Run log and ledger of a table whose only batch is handed out three times."""
+    layers = own_layers(t)
+    land(t.lines("F"), layers.bronze(LINES), LINES, datetime(2026, 3, 31, 6, 57, 0))
+    ingest_stream(t.spark, LINES, layers)
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    batch = files.load(layers.bronze(LINES)).select("path")
+    query = query_id(t.spark, layers.stream_state(LINES, "checkpoint"))
+    for _ in range(2):
+        ingest_batch(t.spark, LINES, layers, batch, 0, query)
+    ledger = Ledger(t.spark, layers.metadata_table(control.OPERATIONS))
+    snapshots = ledger.rows(layers.silver_table(LINES.name)).agg(F.count_distinct("location")).first()[0]
+    log = t.spark.table(layers.metadata_table(control.RUN_LOG))
+    log = log.select("table_name", "rows_read", "rows_written", "status", "batch_id")
+    return log.withColumn("snapshots", F.lit(snapshots))
+
+
 @registered
 def stream_batch_cuts(t: Tables) -> DataFrame:
     """The newer lines land first and every file is a batch; the newest row of a key wins."""
@@ -452,6 +528,16 @@ def declared_range_join(t: Tables) -> DataFrame:
     ])
 
 
+@registered
+def declared_or_join(t: Tables) -> DataFrame:
+    """Equal keys named apart from a condition with alternatives."""
+    either = "f.listen_duration > t.duration_sec OR f.device_type = 'or' OR t.album_name LIKE '%1'"
+    return join_chain(t.silver, [
+        JoinSpec("FactStream", "f", ("f.stream_id", "f.device_type")),
+        JoinSpec("DimTrack", "t", ("t.track_id", "t.album_name"), either, on=(("f.track_id", "t.track_id"),)),
+    ])
+
+
 @registered
 def full_run_fact(t: Tables) -> DataFrame:
     """The published fact after a full run: extract, ingest, check, version, publish."""
@@ -476,6 +562,27 @@ def full_run_fact(t: Tables) -> DataFrame:
     return t.spark.table(layers.gold_table("gold_fact_stream"))
 
 
+@registered
+def fact_refreshed(t: Tables) -> DataFrame:
+    """The fact after a refresh that follows changed users and artists and newly come streams."""
+    layers = own_layers(t)
+    ledger = Ledger(t.spark, layers.metadata_table(control.OPERATIONS))
+    for name in ("DimTrack", "DimDate"):
+        publish_table(t.silver(name), layers.silver_table(name))
+    streams = stored(t.silver("FactStream"), "streams")
+    early = ~F.col("device_type").eqNullSafe("view")
+    for stamp, users, artists, arrived in (
+        (FIRST_RUN, t.earlier_users(), t.earlier_artists(), streams.filter(early)),
+        (RUN_TS, t.users(), t.artists(), streams.filter(~early)),
+    ):
+        publish_table(users, layers.silver_table("DimUser"))
+        publish_table(artists, layers.silver_table("DimArtist"))
+        runs.run_scd2(t.spark, layers, listening.DIMENSIONS, datetime.fromisoformat(stamp))
+        upsert_table(arrived, layers.silver_table("FactStream"), ["stream_id"], ["event_date"], ledger=ledger)
+        VIEWS.refresh(t.spark, layers, ["gold_fact_stream"])
+    return t.spark.table(layers.gold_table("gold_fact_stream"))
+
+
 # Quality checks and logs
 
 
@@ -560,6 +667,30 @@ def quality_run(t: Tables) -> DataFrame:
     return log.drop("check_timestamp")
 
 
+@registered
+def quality_incremental(t: Tables) -> DataFrame:
+    """The checks from profiles kept by partition: a first load, then the rest of each table."""
+    layers = own_layers(t)
+    ledger = Ledger(t.spark, layers.metadata_table(control.OPERATIONS))
+    control.bootstrap(t.spark, layers, [])
+    tables = _checked(t)
+    names = {name: layers.silver_table(name) for name in tables}
+    layouts = {"FactStream": ("date_key",), "DimUser": (), "DimTrack": ()}
+    first = {
+        "FactStream": F.col("device_type") != "error", "DimUser": F.col("user_id") < 50, "DimTrack": F.col("track_id") < 50
+    }
+    for later in (False, True):
+        for name, df in tables.items():
+            some = F.coalesce(first[name], F.lit(False))
+            batch = df.filter(~some if later else some).persist()
+            upsert_table(batch, names[name], CHECKED_KEYS[name][:1], layouts[name], buckets=4, ledger=ledger)
+            batch.unpersist()
+        measured = current_profiles(t.spark, layers, names, CHECKED_KEYS)
+    return quality.run_checks(
+        lambda name: read_state(t.spark, names[name]), CHECKED_KEYS, FOREIGN_KEYS, _previous(t), "rows", measured
+    )
+
+
 @registered
 def run_log_listing(t: Tables) -> DataFrame:
     return newest_first(t.run_log(), "event_timestamp")
@@ -595,3 +726,23 @@ def failed_run_windows_stream(t: Tables) -> DataFrame:
     )
     query.awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(f"{root}/windows")
+
+
+@registered
+def failure_alerts_stream(t: Tables) -> DataFrame:
+    """Windows of a log streamed in pieces that pass the threshold, each alerted once."""
+    root = fresh_dir(t.spark, "alerts")
+    t.run_log().repartition(4, "batch_id").write.parquet(f"{root}/log")
+    schema = t.spark.read.parquet(f"{root}/log").schema
+    log = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/log")
+    query = (
+        failure_alerts(log, threshold=1, keep="36500 days")
+        .writeStream.format("parquet")
+        .option("path", f"{root}/alerts")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return t.spark.read.schema(ALERT_DDL).parquet(f"{root}/alerts")

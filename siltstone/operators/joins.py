@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,23 +34,6 @@ def resolve_keys(base: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
 
 BUCKET = "_bucket"
-_COMPARED = re.compile(r"^\(*\s*([^<>=!]+?)\s*(?:=|==|<=>)\s*([^<>=!]+?)\s*\)*$")
-
-
-def has_equality(condition: str, alias: str, earlier: Sequence[str]) -> bool:
-    """Whether one of the AND-ed terms equates ``alias`` with an earlier alias."""
-
-    def uses(side: str, names: Sequence[str]) -> bool:
-        return any(re.search(rf"(?<![\w.`]){re.escape(name)}`?\s*\.", side) for name in names)
-
-    if re.search(r"\bor\b", condition, re.IGNORECASE):
-        return False
-    for term in re.split(r"\band\b", condition, flags=re.IGNORECASE):
-        if match := _COMPARED.match(term.strip()):
-            for one, other in (match.groups(), match.groups()[::-1]):
-                if uses(one, [alias]) and not uses(one, earlier) and uses(other, earlier) and not uses(other, [alias]):
-                    return True
-    return False
 
 
 def _bucketed(right: DataFrame, spec: JoinSpec) -> tuple[DataFrame, Column]:
@@ -62,31 +45,29 @@ def _bucketed(right: DataFrame, spec: JoinSpec) -> tuple[DataFrame, Column]:
 
 
 def join_chain(read: Callable[[str], DataFrame], specs: Sequence[JoinSpec]) -> DataFrame:
-    """Base table, then one left join per further entry on its own condition.
+    """Base table, then one left join per further entry.
 
-    Conditions are SQL text over the aliases: an equality between the new entry and an
-    earlier one, and any further terms AND-ed to it. Without an equality every pair would
-    be compared, so that raises. The result holds every entry's columns in order. Names
-    must not repeat.
+    An entry joins on the equal pairs it names (``on``), within the range of its ``span``, and on its
+    ``condition``, all AND-ed; the condition is SQL text over the aliases that Spark alone
+    reads. A condition may also stand by itself: Spark joins by the equalities it finds in it, and
+    compares every pair of rows if there are none. The result holds every entry's columns in
+    order. Names must not repeat.
     """
     if not specs:
         raise ValueError("a declared join needs a base table")
     base, *others = specs
     joined = read(base.table).alias(base.alias)
-    known = [base.alias]
     for spec in others:
-        if not spec.condition:
-            raise ValueError(f"join with {spec.alias} has no condition")
-        if not spec.span and not has_equality(spec.condition, spec.alias, known):
-            raise ValueError(
-                f"join with {spec.alias} needs an equality with an earlier alias, or a span: {spec.condition}"
-            )
-        known.append(spec.alias)
-        right, condition = read(spec.table).alias(spec.alias), F.expr(spec.condition)
+        right, terms = read(spec.table).alias(spec.alias), []
         if spec.span:
             right, bucketed = _bucketed(right, spec)
-            condition = bucketed & condition
-        joined = joined.join(right, condition, "left")
+            terms.append(bucketed)
+        terms += [F.expr(earlier) == F.expr(own) for earlier, own in spec.on]
+        if spec.condition:
+            terms.append(F.expr(spec.condition))
+        elif not spec.on:
+            raise ValueError(f"join with {spec.alias} has no condition")
+        joined = joined.join(right, reduce(Column.__and__, terms), "left")
     result = joined.selectExpr(*[col for spec in specs for col in spec.cols])
     repeated = sorted({c for c in result.columns if result.columns.count(c) > 1})
     if repeated:

@@ -17,6 +17,8 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 from siltstone.specs import quoted
 
 MATCHED = "_matched"
+# The column a bucketed table is laid out by; its name ends with the number of buckets.
+KEY_BUCKET = "_key_bucket_of_"
 
 
 def sortable(kind: DataType) -> bool:
@@ -68,6 +70,17 @@ def key_match(keys: Sequence[str], left: str, right: str) -> Column:
     )
 
 
+def with_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Add the bucket of each row, a hash of the text of its keys; NULL keys share one."""
+    hashed = F.xxhash64(*[F.col(quoted(k)).cast("string") for k in keys])
+    return df.withColumn(f"{KEY_BUCKET}{buckets}", F.pmod(hashed, F.lit(buckets)).cast("int"))
+
+
+def bucket_column(columns: Sequence[str]) -> str | None:
+    """The bucket column among the given ones."""
+    return next((c for c in columns if c.lower().startswith(KEY_BUCKET)), None)
+
+
 def without_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not in ``batch``."""
     wanted = batch.select(*[quoted(k) for k in keys])

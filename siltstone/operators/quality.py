@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -13,6 +14,7 @@ from siltstone.specs import ForeignKey, quoted
 
 PASS, FAIL, WARNING = "PASS", "FAIL", "WARNING"
 DRIFT_LIMIT_PCT = 50
+KEY_PROFILES = "array<struct<column:string,null_rows:bigint,distinct_keys:binary>>"
 CHECK_COLUMNS = ("table_name", "check_name", "status", "details")
 
 
@@ -40,6 +42,56 @@ def profiles(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]])
     )
 
 
+def partition_key(partition_by: Sequence[str], values: Sequence[str | None]) -> str:
+    """The values of a partition as one JSON text, as :func:`partition_profiles` names it."""
+    return json.dumps(dict(zip(partition_by, values)), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def partition_profiles(df: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+    """Profiles that add up: rows, NULLs and a sketch of the distinct values of every key, by partition.
+
+    One row per partition with rows, and one of an empty table, so that a table without rows has a
+    profile as well. A table without partitions is one of its own.
+    """
+    entries = [
+        F.struct(
+            F.lit(key).alias("column"),
+            F.count_if(F.col(quoted(key)).isNull()).alias("null_rows"),
+            F.hll_sketch_agg(F.col(quoted(key)).cast("string")).alias("distinct_keys"),
+        )
+        for key in keys
+    ]
+    measures = [F.count(F.lit(1)).alias("total_rows"), F.array(*entries).cast(KEY_PROFILES).alias("key_profiles")]
+    columns = ("partition_key", "total_rows", "key_profiles")
+    if not partition_by:
+        return df.agg(*measures).withColumn("partition_key", F.lit("{}")).select(*columns)
+    values = [F.nullif(F.col(quoted(c)).cast("string"), F.lit("")).alias(c) for c in sorted(partition_by)]
+    named = F.to_json(F.struct(*values), {"ignoreNullFields": "false"}).alias("partition_key")
+    empty = df.limit(0).agg(*measures).withColumn("partition_key", F.lit("")).select(*columns)
+    return df.groupBy(named).agg(*measures).select(*columns).unionByName(empty)
+
+
+def merged_profiles(parts: DataFrame) -> DataFrame:
+    """Profiles of whole tables, as from :func:`profiles`, from those of their partitions.
+
+    Each key has an estimate of its distinct values besides: the sketches merge without a second look at
+    the rows.
+    """
+    totals = parts.groupBy("table_name").agg(F.sum("total_rows").alias("total_rows"))
+    each = parts.select("table_name", F.posexplode("key_profiles").alias("place", "entry")).select("table_name", "place", "entry.*")
+    per_key = each.groupBy("table_name", "place", "column").agg(
+        F.sum("null_rows").alias("null_rows"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_keys")).alias("distinct_keys"),
+    )
+    fields = ("place", "column", "null_rows", "distinct_keys")
+    in_order = F.sort_array(F.collect_list(F.struct(*fields)))
+    bare = F.transform(in_order, lambda e: F.struct(*[e[f].alias(f) for f in fields[1:]]))
+    listed = per_key.groupBy("table_name").agg(bare.alias("key_nulls"))
+    joined = totals.join(listed, "table_name", "left")
+    none = F.array().cast("array<struct<column:string,null_rows:bigint,distinct_keys:bigint>>")
+    return joined.withColumn("key_nulls", F.coalesce("key_nulls", none))
+
+
 def _check(table: Column, name: Column, status: Column, details: Column) -> Column:
     values = (table, name, status, details)
     return F.struct(*[v.alias(c) for c, v in zip(CHECK_COLUMNS, values)])
@@ -150,11 +202,15 @@ def run_checks(
     foreign_keys: Sequence[ForeignKey],
     watermarks: DataFrame,
     count_column: str,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Every check of a run as one frame: NULL keys, drift, then foreign keys."""
-    measured = with_previous_counts(
-        profiles({name: read(name) for name in keys}, keys), watermarks, count_column
-    )
+    """Every check of a run as one frame: NULL keys, drift, then foreign keys.
+
+    ``measured`` are profiles that are known already; without them each table is scanned.
+    """
+    if measured is None:
+        measured = profiles({name: read(name) for name in keys}, keys)
+    measured = with_previous_counts(measured, watermarks, count_column)
     checks = table_checks(measured)
     if foreign_keys:
         checks = checks.unionByName(foreign_key_checks(read, foreign_keys))

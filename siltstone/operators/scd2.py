@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 
 from siltstone.functions.hashing import hash_key
 from siltstone.operators.keyed import key_match, update_matched, without_keys
+from siltstone.session import stored
 from siltstone.specs import Scd2Spec, quoted
 
 
@@ -154,73 +155,34 @@ def scd2_apply(
     run_ts: datetime | str,
     run_date: date | str | None = None,
 ) -> DataFrame:
-    """Next state of the dimension in one pass over current rows and source.
+    """Next state of the dimension: detection, then the merge that a run publishes.
 
-    Equals ``scd2_merge(dimension, scd2_changes(...))`` without needing the changes
-    twice: one full outer join by key, each pair emitting the stored row (expired when
-    changed) and the new version. History and rows with a NULL key match nothing, so
-    they bypass the join: they are not shuffled and cannot pile up in one partition.
-    What remains is unique per key on both sides.
+    Changed and missing keys are stored once, as both are used more than once.
     """
-    stamp, day = _stamps(run_ts, run_date)
-    null_key = reduce(Column.__or__, [F.col(quoted(k)).isNull() for k in spec.keys])
-    incoming = _renamed(source, spec)
-    columns = [quoted(c) for c in spec.columns]
-    closing = {"end_date": day, "is_current": F.lit(False), "record_end_ts": stamp}
-
-    is_current = F.coalesce(F.col("is_current"), F.lit(False))
-    passing = dimension.filter(~is_current | null_key).select(*columns)
-    if spec.expire_missing:
-        passing = passing.withColumns(
-            {
-                name: F.when(is_current, value).otherwise(F.col(quoted(name)))
-                for name, value in closing.items()
-            }
-        )
-    keyless = incoming.filter(null_key).withColumns(_version_columns(spec, stamp, day))
-
-    pairs = (
-        _current(dimension)
-        .filter(~null_key)
-        .withColumn("_stored", F.lit(True))
-        .alias("t")
-        .join(
-            incoming.filter(~null_key).withColumn("_incoming", F.lit(True)).alias("s"),
-            key_match(spec.keys, "t", "s"),
-            "full_outer",
-        )
-    )
-    stored, arrived = F.col("t._stored").isNotNull(), F.col("s._incoming").isNotNull()
-    changed = arrived & (
-        ~stored
-        | F.coalesce(F.col("s.attribute_hash") != F.col("t.attribute_hash"), F.lit(False))
-    )
-    closed = changed | (~arrived) if spec.expire_missing else changed
-    opening = {
-        **_version_columns(spec, stamp, day),
-        spec.surrogate: hash_key(*[F.col(f"s.{quoted(k)}") for k in spec.keys], stamp),
-    }
-    kinds = {field.name: field.dataType for field in dimension.schema.fields}
-    before, after = [], []
-    for name in spec.columns:
-        old = F.col(f"t.{quoted(name)}")
-        old = F.when(closed, closing[name]).otherwise(old) if name in closing else old
-        new = opening[name] if name in opening else F.col(f"s.{quoted(name)}")
-        before.append(old.cast(kinds[name]).alias(name))
-        after.append(new.cast(kinds[name]).alias(name))
-    versions = (
-        pairs.select(
-            F.inline(
-                F.array(
-                    F.struct(stored.alias("_emit"), *before),
-                    F.struct(changed.alias("_emit"), *after),
-                )
-            )
-        )
-        .filter("_emit")
-        .drop("_emit")
-    )
-    return passing.unionByName(_fitted(keyless, dimension, spec)).unionByName(versions)
+    changes = stored(scd2_changes(dimension, source, spec, run_ts, run_date), "changes")
+    missing = stored(scd2_missing(dimension, source, spec), "missing") if spec.expire_missing else None
+    return scd2_merge(dimension, changes, spec, run_ts, run_date, missing)
+
+
+def next_partitions(
+    dimension: DataFrame,
+    changes: DataFrame,
+    spec: Scd2Spec,
+    run_ts: datetime | str,
+    missing: DataFrame | None = None,
+) -> DataFrame:
+    """What a run writes of a dimension kept by ``end_date``: its open rows and those closed on the day.
+
+    Open versions are the NULL partition, and each day's closed versions a partition that later
+    runs leave alone. Rows closed earlier the same day are kept; one that is still open as well was
+    written by a run that died before it moved the open rows, and is closed again.
+    """
+    _, day = _stamps(run_ts, None)
+    open_rows = dimension.filter(F.col("end_date").isNull())
+    same = open_rows.select(quoted(spec.surrogate))
+    closed = dimension.filter(F.col("end_date") == day).join(same, spec.surrogate, "left_anti")
+    merged = scd2_merge(open_rows, changes, spec, run_ts, missing=missing)
+    return merged.unionByName(closed.select(*[quoted(c) for c in merged.columns]))
 
 
 def duplicate_keys(source: DataFrame, keys: tuple[str, ...]) -> DataFrame:

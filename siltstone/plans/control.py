@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.keyed import insert_absent, upsert
+from siltstone.sinks.ledger import OPERATIONS_DDL, PARTITIONED_BY
 from siltstone.sinks.logs import QUALITY_LOG_DDL, RUN_LOG_DDL, SUCCESS
 from siltstone.sinks.publish import create_schema, create_table, publish_table
 from siltstone.sources.incremental import START_OF_TIME
@@ -16,7 +17,14 @@ from siltstone.sources.tables import inline_rows
 from siltstone.specs import Layers, TableSpec
 
 CONFIGS, WATERMARKS = "table_configs", "pipeline_watermarks"
-RUN_LOG, QUALITY_LOG = "pipeline_logs", "data_quality_log"
+RUN_LOG, QUALITY_LOG, OPERATIONS = "pipeline_logs", "data_quality_log", "table_operations"
+
+VIEW_STATE, PROFILES = "view_state", "table_profiles"
+PROFILE_DDL = (
+    "partition_key STRING, version BIGINT, key_columns STRING, total_rows BIGINT, "
+    "key_profiles ARRAY<STRUCT<`column`: STRING, null_rows: BIGINT, distinct_keys: BINARY>>, table_name STRING"
+)
+VIEW_STATE_DDL = "view_name STRING, version BIGINT"
 
 CONFIG_DDL = "schema_name STRING, table_name STRING, cdc_column STRING, is_active BOOLEAN"
 # last_row_count is the size of the last increment; table_row_count is the size of the
@@ -31,7 +39,7 @@ WATERMARK_UPDATE_DDL = (
 
 
 def ensure_metadata(spark: SparkSession, layers: Layers) -> None:
-    """Create the schemas of all layers and the four control tables where absent."""
+    """Create the schemas of all layers and the control tables where absent."""
     for schema in layers.schemas():
         create_schema(spark, schema)
     for table, ddl in (
@@ -39,8 +47,12 @@ def ensure_metadata(spark: SparkSession, layers: Layers) -> None:
         (WATERMARKS, WATERMARK_DDL),
         (RUN_LOG, RUN_LOG_DDL),
         (QUALITY_LOG, QUALITY_LOG_DDL),
+        (VIEW_STATE, VIEW_STATE_DDL),
     ):
         create_table(spark, layers.metadata_table(table), ddl)
+    # By table, so that what concerns one is read and replaced without the others.
+    for table, ddl in ((OPERATIONS, OPERATIONS_DDL), (PROFILES, PROFILE_DDL)):
+        create_table(spark, layers.metadata_table(table), ddl, PARTITIONED_BY)
 
 
 def config_rows(spark: SparkSession, specs: Iterable[TableSpec]) -> DataFrame:

@@ -32,6 +32,7 @@ SOURCE_DDL = {
     ),
 }
 
+# What conforming does to each table.
 RULES = {
     "DimUser": (ColumnRule("user_name", F.upper),),
     "DimTrack": (ColumnRule("track_name", lambda c: F.regexp_replace(c, "-", " ")),),
@@ -89,6 +90,7 @@ DIMENSIONS = (USER_DIMENSION, ARTIST_DIMENSION)
 DURATION_BOUNDS = ((150, "low"), (300, "medium"))
 DURATION_ABOVE = "high"
 
+# Columns of the fact, and what must hold of it.
 FACT_COLUMNS = (
     "stream_id",
     "user_id",
@@ -109,6 +111,7 @@ FACT_EXPECTATIONS = (
     Expectation("listen_duration_positive", "listen_duration > 0"),
 )
 
+# The default declared join.
 STREAM_DETAIL_JOIN = (
     JoinSpec("FactStream", "factstream", ("factstream.stream_id", "factstream.listen_duration")),
     JoinSpec(
@@ -140,20 +143,21 @@ def date_keys(dates: DataFrame) -> DataFrame:
 
 
 def current_keys(dimension: DataFrame, key: str, surrogate: str, alias: str) -> DataFrame:
-    """Business key and surrogate of the current versions."""
-    return dimension.filter(F.col("is_current")).select(key, F.col(surrogate).alias(alias))
+    """Business key and surrogate of the current versions, which are in the open partition."""
+    current = dimension.filter(F.col("is_current") & F.col("end_date").isNull())
+    return current.select(key, F.col(surrogate).alias(alias))
 
 
-@VIEWS.add("gold_dim_user")
-def gold_dim_user(silver: Reader, gold: Reader) -> DataFrame:
+@VIEWS.follow("gold_dim_user", USER_DIMENSION.dimension, "gold", partition_by=("end_date",))
+def gold_dim_user(versions: DataFrame, lookups: dict[str, Lookup]) -> DataFrame:
     """Every version of every user."""
-    return gold(USER_DIMENSION.dimension)
+    return versions
 
 
-@VIEWS.add("gold_dim_artist")
-def gold_dim_artist(silver: Reader, gold: Reader) -> DataFrame:
+@VIEWS.follow("gold_dim_artist", ARTIST_DIMENSION.dimension, "gold", partition_by=("end_date",))
+def gold_dim_artist(versions: DataFrame, lookups: dict[str, Lookup]) -> DataFrame:
     """Every version of every artist."""
-    return gold(ARTIST_DIMENSION.dimension)
+    return versions
 
 
 @VIEWS.add("gold_dim_track")
@@ -162,14 +166,13 @@ def gold_dim_track(silver: Reader, gold: Reader) -> DataFrame:
     return silver("DimTrack").withColumn("durationFlag", flag)
 
 
-@VIEWS.add("gold_dim_date")
-def gold_dim_date(silver: Reader, gold: Reader) -> DataFrame:
-    return silver("DimDate").withColumns(calendar_columns(F.col("date")))
+@VIEWS.follow("gold_dim_date", "DimDate", partition_by=("year", "month"))
+def gold_dim_date(dates: DataFrame, lookups: dict[str, Lookup]) -> DataFrame:
+    return dates.withColumns(calendar_columns(F.col("date")))
 
 
-@VIEWS.add("gold_fact_stream", expectations=FACT_EXPECTATIONS)
-def gold_fact_stream(silver: Reader, gold: Reader) -> DataFrame:
-    """Streams with the surrogate keys of the current user, artist, track and date.
+def fact_lookups(silver: Reader, gold: Reader) -> dict[str, Lookup]:
+    """The keys that streams are resolved with.
 
     Artists are resolved on the track side, which is far smaller than the fact: the
     fact then takes one join for both track and artist, and is never shuffled by the
@@ -184,12 +187,17 @@ def gold_fact_stream(silver: Reader, gold: Reader) -> DataFrame:
     users = current_keys(
         gold(USER_DIMENSION.dimension), "user_id", USER_DIMENSION.surrogate, "user_key"
     )
-    fact = resolve_keys(
-        silver("FactStream"),
-        [
-            Lookup(date_keys(silver("DimDate")), ("date_key",), ("date_dim_key",)),
-            Lookup(tracks, ("track_id",), ("artist_id", "track_key", "artist_key")),
-            Lookup(users, ("user_id",), ("user_key",)),
-        ],
-    )
-    return fact.select(*FACT_COLUMNS)
+    return {
+        "dates": Lookup(date_keys(silver("DimDate")), ("date_key",), ("date_dim_key",)),
+        "tracks": Lookup(tracks, ("track_id",), ("artist_id", "track_key", "artist_key")),
+        "users": Lookup(users, ("user_id",), ("user_key",)),
+    }
+
+
+@VIEWS.follow(
+    "gold_fact_stream", "FactStream", partition_by=("event_date",), lookups=fact_lookups,
+    expectations=FACT_EXPECTATIONS,
+)
+def gold_fact_stream(streams: DataFrame, lookups: dict[str, Lookup]) -> DataFrame:
+    """Streams with the surrogate keys of the current user, artist, track and date."""
+    return resolve_keys(streams, list(lookups.values())).select(*FACT_COLUMNS)

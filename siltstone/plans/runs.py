@@ -8,17 +8,20 @@ from datetime import datetime, timezone
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.operators.quality import FAIL, orphans, run_checks
 from siltstone.operators.scd2 import (
     dimension_schema,
     duplicate_keys,
+    next_partitions,
     scd2_changes,
-    scd2_merge,
     scd2_missing,
 )
 from siltstone.plans.control import (
     CONFIGS,
+    OPERATIONS,
     QUALITY_LOG,
     RUN_LOG,
     WATERMARKS,
@@ -28,10 +31,22 @@ from siltstone.plans.control import (
     work_list,
 )
 from siltstone.plans.gold import Views
+from siltstone.plans.profiles import current_profiles
+from siltstone.session import stored
+from siltstone.sinks.ledger import Ledger
 from siltstone.sinks.logs import FAILED, SUCCESS, RunEntry, log_checks, log_run
-from siltstone.sinks.publish import Published, create_table, publish_table
+from siltstone.sinks.publish import (
+    Published,
+    create_table,
+    layout_of,
+    new_snapshot_path,
+    publish_table,
+    swap_partitions,
+    write_snapshot,
+)
+from siltstone.sinks.upsert import read_state
 from siltstone.sources.incremental import land
-from siltstone.sources.tables import preview
+from siltstone.sources.tables import preview, table_exists
 from siltstone.specs import ForeignKey, Layers, Scd2Spec, TableSpec
 from siltstone.streaming.ingest import ingest_all, record_sizes
 
@@ -102,19 +117,24 @@ def run_quality(
     specs: Sequence[TableSpec],
     foreign_keys: Sequence[ForeignKey],
 ) -> list:
-    """Run and log every check, then fail if one did; WARNING does not fail."""
+    """Run and log every check, then fail if one did; WARNING does not fail.
+
+    Sizes and NULLs come from kept profiles, so only partitions written since the last check are read.
+    """
     silver_names = {spec.name: layers.silver_table(spec.silver_table) for spec in specs}
 
     def read(table: str) -> DataFrame:
-        return spark.table(silver_names[table])
+        return read_state(spark, silver_names[table])
 
+    keys = {spec.name: spec.primary_keys for spec in specs}
     # One row per check comes back, not data.
     checks = run_checks(
         read,
-        {spec.name: spec.primary_keys for spec in specs},
+        keys,
         foreign_keys,
         spark.table(layers.metadata_table(WATERMARKS)),
         "table_row_count",
+        current_profiles(spark, layers, silver_names, keys),
     ).collect()
     log_checks(spark, layers.metadata_table(QUALITY_LOG), checks)
     failed = [check for check in checks if check["status"] == FAIL]
@@ -132,6 +152,19 @@ def run_quality(
     return checks
 
 
+STEP = "gold_scd2_merge"  # fixed value: the step's name in the run log
+HISTORY = ("end_date",)
+
+
+def history_table(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Create a dimension kept by ``end_date``, or lay out anew one that is not; empty ones are just declared."""
+    if table_exists(spark, table):
+        if layout_of(spark, table) != list(HISTORY):
+            publish_table(stored(spark.table(table), "history"), table, HISTORY)
+        return
+    create_table(spark, table, schema, HISTORY)
+
+
 def apply_scd2(
     spark: SparkSession,
     layers: Layers,
@@ -140,24 +173,26 @@ def apply_scd2(
 ) -> int:
     """Bring one dimension up to date and return how many versions were added.
 
-    The changes are computed once and kept; without any, nothing is written. The next
-    state is published as one snapshot, so there is no moment between expiring and
-    appending.
+    Detection reads the open versions only, and the run rewrites those and adds the day's closed
+    ones: partitions of earlier days keep their files. The changes are computed once and
+    kept; without any, nothing is written.
     """
     table = layers.gold_table(spec.dimension)
-    source = spark.table(layers.silver_table(spec.source))
-    create_table(spark, table, dimension_schema(source.schema, spec))
+    source = read_state(spark, layers.silver_table(spec.source))
+    history_table(spark, table, dimension_schema(source.schema, spec))
     repeated = preview(duplicate_keys(source, spec.keys), 5).collect()
     if repeated:
         raise ValueError(f"{spec.source} repeats keys of {spec.dimension}: {repeated}")
 
-    changes = scd2_changes(spark.table(table), source, spec, run_ts).persist()
-    missing = scd2_missing(spark.table(table), source, spec).persist() if spec.expire_missing else None
+    dimension = spark.table(table)
+    open_rows = dimension.filter(F.col("end_date").isNull())
+    changes = scd2_changes(open_rows, source, spec, run_ts).persist()
+    missing = scd2_missing(open_rows, source, spec).persist() if spec.expire_missing else None
     try:
         count = changes.count()
         if count or missing is not None and not missing.isEmpty():
-            merged = scd2_merge(spark.table(table), changes, spec, run_ts, missing=missing)
-            publish_table(merged, table)
+            rows = next_partitions(dimension, changes, spec, run_ts, missing)
+            _publish_versions(spark, layers, table, rows, run_ts, count)
         return count
     finally:
         changes.unpersist()
@@ -165,6 +200,21 @@ def apply_scd2(
             missing.unpersist()
 
 
+def _publish_versions(
+    spark: SparkSession, layers: Layers, table: str, rows: DataFrame, run_ts: datetime, count: int
+) -> None:
+    # The day as the session sees it, as in the rows.
+    day = spark.range(1).select(F.to_date(F.lit(run_ts).cast("timestamp")).cast("string")).first()[0]
+    affected = {(None,), (day,)}
+    closed = F.count_if(F.col("record_end_ts") == F.lit(run_ts).cast("timestamp"))
+    done = write_snapshot(rows, new_snapshot_path(spark, table), HISTORY, {"rows_closed": closed})
+    ledger = Ledger(spark, layers.metadata_table(OPERATIONS))
+    operation = ledger.start(table, "VERSION", HISTORY, affected)
+    swap_partitions(spark, table, HISTORY, done.location, affected)
+    spark.catalog.refreshTable(table)
+    ledger.finish(operation, done.location, count, count, int(done.metrics.get("rows_closed") or 0), done.rows)
+
+
 def run_scd2(
     spark: SparkSession,
     layers: Layers,
@@ -180,7 +230,7 @@ def run_scd2(
 
     def log(status: str, changed: int, error: str | None = None) -> None:
         entry = RunEntry(
-            "gold_scd2_merge", names, changed, changed, time.monotonic() - started,
+            STEP, names, changed, changed, time.monotonic() - started,
             status, error, run_id=run_id,
         )
         log_run(spark, layers.metadata_table(RUN_LOG), entry)

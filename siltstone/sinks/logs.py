@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from siltstone.sinks.publish import append_table
 from siltstone.sources.tables import inline_rows
 
+# Columns of the logs.
 RUN_LOG_DDL = (
     "event_timestamp TIMESTAMP, notebook_name STRING, table_name STRING, rows_read BIGINT, "
     "rows_written BIGINT, duration_seconds DOUBLE, status STRING, error_message STRING, "
@@ -111,3 +114,40 @@ def failure_windows(
             "failed_runs",
         )
     )
+
+
+ALERT_DDL = "window_start TIMESTAMP, window_end TIMESTAMP"
+
+
+def failure_alerts(
+    log: DataFrame, width_minutes: int = 5, threshold: int = 0, keep: str = "30 days"
+) -> DataFrame:
+    """One row per window of a streamed log when it first has more than ``threshold`` failed runs, and never again.
+
+    The state of a window is its count and whether it has raised its alert, so rows that come late
+    count as well and a window alerts as soon as it passes, not when it closes. ``keep`` bounds the
+    state: a window is forgotten when the newest failure is that much later, and rows older
+    than that are passed over. Write the result in append mode.
+    """
+    failed = log.filter(F.col("status") == FAILED).select(F.col("event_timestamp").cast("timestamp").alias("at"))
+    window = F.window("at", f"{width_minutes} minutes")
+    failed = failed.withWatermark("at", keep).select("at", window["start"].alias("window_start"))
+
+    def alert(
+        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        count, raised = state.get if state.exists else (0, False)
+        count += sum(len(rows) for rows in batches)
+        end = key[0] + timedelta(minutes=width_minutes)
+        if count > threshold and not raised:
+            yield pd.DataFrame({"window_start": [key[0]], "window_end": [end]})
+        state.update((count, raised or count > threshold))
+        # Forgotten once the watermark has passed the window.
+        state.setTimeoutTimestamp(max(int(end.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+
+    return failed.groupBy("window_start").applyInPandasWithState(
+        alert, ALERT_DDL, "failed_runs BIGINT, raised BOOLEAN", "append", GroupStateTimeout.EventTimeTimeout
+    )

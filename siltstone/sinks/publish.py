@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import TYPE_CHECKING
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,6 +24,9 @@ from pyspark.sql.types import StructType
 from siltstone.operators.expectations import Expectation, ExpectationError, violation_columns
 from siltstone.specs import quoted
 
+if TYPE_CHECKING:
+    from siltstone.sinks.ledger import Ledger
+
 ROWS = "rows_total"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -122,12 +126,13 @@ def publish_table(
     expectations: Sequence[Expectation] = (),
     metrics: Mapping[str, Column] | None = None,
     drop: Sequence[str] = (),
+    ledger: Ledger | None = None,
 ) -> Published:
     """Replace the whole content of a table, creating it on first use.
 
     Violated expectations are counted while writing and abort before the swap. Columns that
-    only came along are added; when columns have changed otherwise, or the table is
-    partitioned, it is declared anew.
+    only came along are added; when columns have changed otherwise, or the partitions are by
+    other columns, the table is declared anew. A ``ledger`` notes the operation.
     """
     spark = df.sparkSession
     checks = violation_columns(expectations)
@@ -139,6 +144,7 @@ def publish_table(
         raise ExpectationError(table, broken)
 
     exists = spark.catalog.tableExists(table)
+    operation = ledger.start(table, "REPLACE" if exists else "CREATE") if ledger else None
     written = df.drop(*drop)
     if exists and not partition_by:
         known, wanted = set(spark.table(table).dtypes), dict(written.dtypes)
@@ -147,7 +153,8 @@ def publish_table(
         if added and known | {(f.name, wanted[f.name]) for f in added} == set(wanted.items()):
             columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
             spark.sql(f"ALTER TABLE {quoted_table(table)} ADD COLUMNS ({columns})")
-    if not exists or sorted(spark.table(table).dtypes) != sorted(written.dtypes):
+    changed = exists and sorted(spark.table(table).dtypes) != sorted(written.dtypes)
+    if not exists or changed or not _laid_out_by(spark, table, partition_by):
         create_table(spark, table, written.schema, partition_by, done.location, replace=exists)
         if partition_by:
             spark.sql(f"MSCK REPAIR TABLE {quoted_table(table)}")
@@ -156,11 +163,23 @@ def publish_table(
     else:
         spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION '{done.location}'")
     spark.catalog.refreshTable(table)
+    if operation:
+        ledger.finish(operation, done.location, done.rows, done.rows, 0, done.rows)
     return done
 
 
-def append_table(df: DataFrame, table: str) -> None:
-    df.write.mode("append").format("parquet").saveAsTable(table)
+def layout_of(spark: SparkSession, table: str) -> list[str]:
+    """The columns a table is partitioned by."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _laid_out_by(spark: SparkSession, table: str, partition_by: Sequence[str]) -> bool:
+    return [c.lower() for c in layout_of(spark, table)] == [c.lower() for c in partition_by]
+
+
+def append_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to a table, in files of their own."""
+    df.write.mode("append").format("parquet").partitionBy(*partition_by).saveAsTable(table)
 
 
 def _key_of(path: str, depth: int) -> PartitionKey:
@@ -206,10 +225,11 @@ def partition_filter(
 
 
 def _written_folders(spark: SparkSession, location: str, depth: int) -> dict[PartitionKey, str]:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(location + "/*=*" * depth)
-    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    paths = [status.getPath().toString() for status in system.globStatus(pattern)]
-    return {_key_of(path, depth): path for path in paths}
+    """Folder of each partition written at ``location``; the columns of the files do not matter here."""
+    files = spark.read.schema("_ INT").parquet(location).inputFiles()
+    # Names of files come URL-encoded, on top of the escapes in a partition's folder name.
+    folders = {unquote(file).rsplit("/", 1)[0] for file in files}
+    return {_key_of(folder, depth): folder for folder in folders}
 
 
 def _clause(key: PartitionKey, partition_by: Sequence[str]) -> str:
@@ -219,6 +239,10 @@ def _clause(key: PartitionKey, partition_by: Sequence[str]) -> str:
     return ", ".join(f"{quoted(c)} = {literal(v)}" for c, v in zip(partition_by, key))
 
 
+def _batches(clauses: list[str], size: int = 100) -> Iterable[list[str]]:
+    return (clauses[start : start + size] for start in range(0, len(clauses), size))
+
+
 def swap_partitions(
     spark: SparkSession,
     table: str,
@@ -244,15 +268,16 @@ def swap_partitions(
         for key, path in folders.items()
         if key not in existing
     ]
-    for start in range(0, len(added), 100):
-        spark.sql(f"ALTER TABLE {name} ADD {' '.join(added[start:start + 100])}")
+    for some in _batches(added):
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(some)}")
     for key, path in folders.items():
         if key in existing:
             spark.sql(
                 f"ALTER TABLE {name} PARTITION ({_clause(key, partition_by)}) SET LOCATION '{path}'"
             )
-    for key in (replaced & existing) - folders.keys():
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_clause(key, partition_by)})")
+    gone = [f"PARTITION ({_clause(key, partition_by)})" for key in (replaced & existing) - folders.keys()]
+    for some in _batches(gone):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(some)}")
 
 
 def sweep_snapshots(

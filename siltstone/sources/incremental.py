@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +30,52 @@ def split_column_of(schema: StructType, spec: TableSpec) -> str:
     return column
 
 
+# Ranks in the sketch of a split column are off by at most this share of a range.
+DEPTH_ERROR = 0.02
+
+
+def depth_bounds(df: DataFrame, column: str, ranges: int) -> list[object]:
+    """Values that cut the rows into ``ranges`` of about equal size, ascending and distinct.
+
+    They are quantiles of one mergeable sketch that tasks fill and the final one merges, so
+    hot spots of the column get narrow ranges. A single value is never cut: one that holds
+    several ranges' worth of rows closes one range, and there are fewer ranges then.
+    """
+    points = [k / ranges for k in range(1, ranges)]
+    if not points:
+        return []
+    accuracy = max(10_000, int(ranges / DEPTH_ERROR))
+    found = df.agg(F.percentile_approx(F.col(quoted(column)), points, accuracy)).first()[0]
+    return sorted(set(found or []))
+
+
+def _sql_literal(value: object) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S.%f}'"
+    if isinstance(value, date):
+        return f"DATE '{value:%Y-%m-%d}'"
+    return str(value)
+
+
+def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """One SQL condition per range; each row, also one without a value, meets exactly one."""
+    if not bounds:
+        return ["1 = 1"]
+    texts = [_sql_literal(bound) for bound in bounds]
+    inner = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(texts, texts[1:])]
+    return [f"{column} <= {texts[0]} OR {column} IS NULL", *inner, f"{column} > {texts[-1]}"]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """A relational source. ``options`` are Spark's JDBC options (url, user, driver, ...).
 
-    The changed rows of a table are read in ``num_partitions`` ranges of its split column,
-    whose bounds the database computes over the changed rows. That is the spec's
-    ``split_column``, or else its first primary key if that is numeric or temporal. A
-    table without one is only read, by one task, if its spec says ``single_task``.
+    The changed rows of a table are read in ``num_partitions`` ranges of its split column, each
+    by a predicate of its own. The ranges hold about as many rows each: the column alone is
+    read first, in even steps between the least and greatest value of the changed rows, to
+    find their bounds. The split column is the spec's ``split_column``, or else its first primary
+    key if that is numeric or temporal. A table without one is only read, by one task, if its
+    spec says ``single_task``.
     """
 
     options: Mapping[str, str]
@@ -55,13 +93,21 @@ class JdbcSource:
         low, high = rows.agg(F.min(column), F.max(column)).first()
         if low is None:
             return rows
-        bounds = {
+        ranges = spec.num_partitions or self.num_partitions
+        even = {
             "partitionColumn": split_column,
             "lowerBound": str(low),
             "upperBound": str(high),
-            "numPartitions": str(spec.num_partitions or self.num_partitions),
+            "numPartitions": str(ranges),
         }
-        split = spark.read.format("jdbc").options(**options, **bounds).load()
+        values = spark.read.format("jdbc").options(**options, **even).load()
+        values = changed_since(values, spec, watermark, self.overlap).select(quoted(split_column))
+        split = spark.read.jdbc(
+            options["url"],
+            options["dbtable"],
+            predicates=range_predicates(split_column, depth_bounds(values, split_column, ranges)),
+            properties={k: v for k, v in options.items() if k not in ("url", "dbtable")},
+        )
         return changed_since(split, spec, watermark, self.overlap)
 
 

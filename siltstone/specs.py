@@ -42,6 +42,9 @@ class TableSpec:
     # True promises that a key never changes partition, so an upsert looks for
     # existing rows in the incoming partitions only instead of scanning all keys.
     stable_partitions: bool = False
+    # Lays the table out by this many hash buckets of the key when it is first written, so an
+    # upsert reads and rewrites only the buckets of its batch.
+    key_buckets: int = 0
     # False keeps the stored row when an incoming one is older, so the outcome does not
     # depend on how landed files are cut into batches. With True it does: the row of the
     # last batch wins, whatever its order column says.
@@ -60,6 +63,8 @@ class TableSpec:
             if isinstance(value, str):
                 raise ValueError(f"{self.name}: {label} must be a list of columns")
             object.__setattr__(self, label, tuple(value))
+        if self.key_buckets < 0 or self.key_buckets and not self.primary_keys:
+            raise ValueError(f"{self.name}: key_buckets needs primary keys and is not negative")
         object.__setattr__(self, "bronze_path", self.bronze_path or self.name)
         object.__setattr__(self, "silver_table", self.silver_table or self.name)
         object.__setattr__(self, "target_path", self.target_path or self.name)
@@ -118,8 +123,10 @@ class Scd2Spec:
 class JoinSpec:
     """One entry of a declared join; the first entry of a list is the base.
 
-    A condition without equality needs ``span``: a value of earlier entries, the low and the
-    high end of the entry's own range that holds it, and a bucket width to join on.
+    ``on`` names what must be equal, as pairs of an earlier entry's expression and the entry's own; the
+    ``condition`` may then be any further SQL. A range without equality needs ``span``: a value
+    of earlier entries, the low and the high end of the entry's own range that holds it, and a
+    bucket width to join on.
     """
 
     table: str
@@ -127,6 +134,7 @@ class JoinSpec:
     cols: tuple[str, ...]
     condition: str | None = None
     span: tuple[str, str, str, float] | None = None
+    on: tuple[tuple[str, str], ...] = ()
 
     @classmethod
     def of(cls, entry: Mapping[str, object]) -> JoinSpec:
@@ -142,6 +150,7 @@ class JoinSpec:
             cols=tuple(cols),
             condition=entry.get("condition"),
             span=tuple(entry["span"]) if entry.get("span") else None,
+            on=tuple((earlier, own) for earlier, own in entry.get("on") or ()),
         )
 
 
@@ -214,6 +223,7 @@ def table_specs(
                 target_path=entry.get("target_path"),
                 partition_by=entry.get("partition_by") or (),
                 is_active=bool(entry.get("is_active", True)),
+                key_buckets=int(entry.get("key_buckets") or 0),
                 split_column=entry.get("split_column"),
                 num_partitions=entry.get("num_partitions"),
                 single_task=bool(entry.get("single_task", False)),

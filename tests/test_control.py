@@ -23,8 +23,10 @@ from siltstone.sources.incremental import (
     JdbcSource,
     ParquetSource,
     changed_since,
+    depth_bounds,
     landing_path,
     measure,
+    range_predicates,
 )
 from siltstone.specs import ColumnRule, Layers, TableSpec, load_table_specs, table_specs
 
@@ -113,9 +115,9 @@ def test_date_watermark(spark):
 
 
 def test_relational_source_is_read_in_ranges_of_the_changed_rows(spark):
-    """The database is stood in for by a frame; only the options handed to Spark are checked."""
+    """The database is stood in for by a frame; only what is handed to Spark is checked."""
     data = spark.createDataFrame([(1, OLD), (5, NEW), (9, NOW)], "id int, changed timestamp")
-    asked = []
+    asked, split_by = [], []
 
     class Reader:
         read = property(lambda self: self)
@@ -131,24 +133,51 @@ def test_relational_source_is_read_in_ranges_of_the_changed_rows(spark):
         def load(self):
             return data
 
+        def jdbc(self, url, table, predicates, properties):
+            assert (url, table, properties) == ("u", "dbo.Items", {"user": "me"})
+            split_by.append(predicates)
+            return data
+
     plain = JdbcSource({"url": "u"})
     assert plain.read(Reader(), replace(SPEC, single_task=True), "2026-01-01 00:00:00").count() == 2
     assert asked == [{"url": "u", "dbtable": "dbo.Items"}]
-    split = JdbcSource({"url": "u"}, num_partitions=8, overlap=True)
+    split = JdbcSource({"url": "u", "user": "me"}, num_partitions=2, overlap=True)
     assert split.read(Reader(), SPEC, "2026-02-01 00:00:00").count() == 2
     assert asked[-1] == {
-        "url": "u", "dbtable": "dbo.Items", "partitionColumn": "id",
-        "lowerBound": "5", "upperBound": "9", "numPartitions": "8",
+        "url": "u", "user": "me", "dbtable": "dbo.Items", "partitionColumn": "id",
+        "lowerBound": "5", "upperBound": "9", "numPartitions": "2",
     }
+    assert split_by[-1] == ["id <= 5 OR id IS NULL", "id > 5"]
     assert split.read(Reader(), SPEC, "2027-01-01 00:00:00").count() == 0
     assert "partitionColumn" not in asked[-1]
     other = replace(SPEC, split_column=SPEC.cdc_column, num_partitions=3)
     assert split.read(Reader(), other, "2026-02-01 00:00:00").count() == 2
     assert (asked[-1]["partitionColumn"], asked[-1]["numPartitions"]) == (SPEC.cdc_column, "3")
+    stamps = [f"{SPEC.cdc_column} > TIMESTAMP '2026-02-01 00:00:00.000000'", "TIMESTAMP '2026-03-01 00:00:00.000000'"]
+    assert split_by[-1][1] == f"{stamps[0]} AND {SPEC.cdc_column} <= {stamps[1]}"
     with pytest.raises(ValueError, match="single_task"):
         split.read(Reader(), replace(SPEC, split_column="nowhere"), "2026-02-01 00:00:00")
 
 
+def test_ranges_are_of_equal_depth(spark):
+    """Most values lie in a small part of the span, one of them in a fifth of the rows, and some are missing."""
+    values = [*range(4000), *range(10**6, 10**6 + 400), *[7] * 1100, *[None] * 50]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(7)
+    predicates = range_predicates("v", depth_bounds(df, "v", 10))
+    counts = [df.filter(p).count() for p in predicates]
+    assert sum(counts) == len(values)
+    hot = max(counts)
+    assert 1100 <= hot < 1200 and all(450 < n < 640 for n in counts if n != hot)
+    assert depth_bounds(df.filter("false"), "v", 10) == [] and range_predicates("v", []) == ["1 = 1"]
+    assert depth_bounds(df, "v", 1) == []
+    days = spark.sql("select explode(sequence(date'2026-01-01', date'2026-12-31')) as d, timestamp'2026-01-01 10:00:00.25' as t")
+    predicates = range_predicates("d", depth_bounds(days, "d", 4))
+    assert predicates[0] == "d <= DATE '2026-04-02' OR d IS NULL"
+    assert [days.filter(p).count() for p in predicates] == [92, 91, 91, 91]
+    stamp = range_predicates("t", depth_bounds(days, "t", 2))
+    assert [days.filter(p).count() for p in stamp] == [365, 0]
+
+
 def test_landing_path():
     assert landing_path("/b/Items", SPEC, datetime(2026, 3, 1, 1, 2, 3)) == "/b/Items/items_20260301010203.parquet"
 

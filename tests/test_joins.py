@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from siltstone.operators.joins import Lookup, has_equality, join_chain, resolve_keys
+from siltstone.operators.joins import Lookup, join_chain, resolve_keys
 from siltstone.plans.listening import STREAM_DETAIL_JOIN
 from siltstone.specs import JoinSpec
 
@@ -57,19 +57,19 @@ def test_default_declared_join_columns(spark):
     ]
 
 
-@pytest.mark.parametrize(
-    "condition, fits",
-    [
-        ("a.id = b.id", True),
-        ("b.id = a.id AND a.x < b.y", True),
-        ("(a.id = b.id) AND b.z > 1", True),
-        ("a.id <=> b.id", True),
-        ("a.x < b.y", False),
-        ("b.id = 5", False),
-        ("a.id = b.id OR a.x = 1", False),
-        ("b.id = b.x", False),
-        ("a.x <= b.y AND a.x >= b.z", False),
-    ],
-)
-def test_declared_joins_need_an_equality(condition, fits):
-    assert has_equality(condition, "b", ["a"]) == fits
+def test_conditions_are_left_to_spark(spark, rows):
+    tables = {
+        "f": spark.createDataFrame([(1, 5, "x or y"), (2, 1, "z"), (3, 1, None)], "k int, a int, s string"),
+        "t": spark.createDataFrame([(1, 9), (2, 1), (2, 7)], "k int, b int"),
+    }
+    base, cols = JoinSpec("f", "f", ("f.k",)), ("t.b",)
+    for spec, expected in (
+        (JoinSpec("t", "t", cols, "f.a > 4 OR t.b < 2", on=(("f.k", "t.k"),)), [(1, 9), (2, 1), (3, None)]),
+        (JoinSpec("t", "t", cols, "f.k = t.k AND (f.a > 4 OR t.b < 2)"), [(1, 9), (2, 1), (3, None)]),
+        (JoinSpec("t", "t", cols, "f.s = 'x or y'", on=(("f.k", "t.k"),)), [(1, 9), (2, None), (3, None)]),
+        (JoinSpec.of({"table": "t", "alias": "t", "cols": "t.b", "on": [["f.k + 1", "t.k"]]}), [(1, 1), (1, 7), (2, None), (3, None)]),
+    ):
+        got = join_chain(tables.__getitem__, [base, spec])
+        assert rows(got) == expected
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan

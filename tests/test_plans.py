@@ -76,7 +76,7 @@ def test_hot_null_keys_are_split_in_upserts(spark):
 def test_fact_joins_the_artist_on_the_track_side(spark):
     t = Tables(spark, SMALL)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        plan = plan_of(VIEWS.build("gold_fact_stream", t.silver, t.gold))
+        plan = plan_of(VIEWS.build("gold_fact_stream", t.silver, lambda name: stored(t.gold(name), "dimension")))
     on_fact = re.findall(r"SortMergeJoin \[(\w+)#\d+L?\], \[\w+#\d+L?\], LeftOuter", plan)
     assert on_fact.count("artist_id") == 1 and on_fact.index("artist_id") > on_fact.index("track_id")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -1,19 +1,25 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.operators.quality import (
     foreign_key_checks,
+    merged_profiles,
     orphans,
+    partition_profiles,
     pk_null_checks,
     profiles,
     row_drift_checks,
     run_checks,
     with_previous_counts,
 )
-from siltstone.plans.control import bootstrap, record_table_sizes
+from siltstone.plans.control import OPERATIONS, PROFILES, bootstrap, record_table_sizes
+from siltstone.plans.profiles import changed_profiles, current_profiles
 from siltstone.plans.runs import QualityError, run_quality
+from siltstone.sinks.ledger import Ledger
 from siltstone.sinks.publish import publish_table
+from siltstone.sinks.upsert import upsert_table
 from siltstone.specs import ForeignKey, TableSpec
 
 
@@ -104,3 +110,55 @@ def test_warning_does_not_fail(spark, layers, rows):
     record_table_sizes(spark, layers, {"T": 1})
     checks = run_quality(spark, layers, [spec], [])
     assert [c["status"] for c in checks] == ["PASS", "WARNING"]
+
+
+def kept(spark, layers, tables, keys, rows):
+    measured = current_profiles(spark, layers, tables, keys)
+    return rows(measured.select("table_name", "total_rows", F.transform("key_nulls", lambda e: F.concat_ws("=", e["column"], e["null_rows"]))))
+
+
+def test_kept_profiles_follow_the_table(spark, layers, rows):
+    ledger = Ledger(spark, layers.metadata_table(OPERATIONS))
+    tables = {"T": layers.silver_table("t"), "U": layers.silver_table("u")}
+    keys = {"T": ("id", "k"), "U": ()}
+    ddl = "id int, k string, day int"
+    batch = spark.createDataFrame([(1, None, 1), (2, "b", 2), (3, "", None), (None, "x", 2)], ddl)
+    upsert_table(batch, tables["T"], ["id"], ["day"], ledger=ledger)
+    publish_table(ids(spark, [1, 2]), tables["U"])
+    assert kept(spark, layers, tables, keys, rows) == [("T", 4, ["id=1", "k=1"]), ("U", 2, [])]
+    state = spark.table(layers.metadata_table(PROFILES))
+    assert changed_profiles(spark, layers, "T", tables["T"], keys["T"], 1) is None
+
+    # A row moves from the second day to the first, a day goes, and a new one comes.
+    upsert_table(spark.createDataFrame([(2, None, 1), (3, "c", 4)], ddl), tables["T"], ["id"], ["day"], ledger=ledger)
+    change = changed_profiles(spark, layers, "T", tables["T"], keys["T"], 2)
+    named = {r["partition_key"]: r["total_rows"] for r in change.collect()}
+    assert named == {'{"day":"1"}': 2, '{"day":"2"}': 1, '{"day":null}': 0, '{"day":"4"}': 1, "": 0}
+    assert kept(spark, layers, tables, keys, rows) == [("T", 4, ["id=1", "k=2"]), ("U", 2, [])]
+    state = spark.table(layers.metadata_table(PROFILES)).filter("table_name = 'T'")
+    one = merged_profiles(state).first()
+    assert [(e["column"], e["distinct_keys"]) for e in one["key_nulls"]] == [("id", 3), ("k", 2)]
+
+    # Other keys, and a table replaced whole, are profiled whole.
+    assert kept(spark, layers, tables, {"T": ("day",), "U": ()}, rows)[0] == ("T", 4, ["day=0"])
+    publish_table(spark.createDataFrame([(9, "z", 5)], ddl), tables["T"], ["day"], ledger=ledger)
+    assert kept(spark, layers, tables, keys, rows)[0] == ("T", 1, ["id=0", "k=0"])
+    publish_table(spark.createDataFrame([], ddl), tables["T"], ["day"], ledger=ledger)
+    assert kept(spark, layers, tables, keys, rows)[0] == ("T", 0, ["id=0", "k=0"])
+
+
+def test_only_partitions_written_since_are_read(spark, layers, monkeypatch):
+    ledger, table = Ledger(spark, layers.metadata_table(OPERATIONS)), layers.silver_table("t")
+    ddl = "id int, day int"
+    upsert_table(spark.createDataFrame([(k, k % 5) for k in range(50)], ddl), table, ["id"], ["day"], ledger=ledger)
+    current_profiles(spark, layers, {"T": table}, {"T": ("id",)})
+    upsert_table(spark.createDataFrame([(3, 3)], ddl), table, ["id"], ["day"], ledger=ledger)
+    seen = []
+
+    def watched(df, *rest):
+        seen.extend(df.inputFiles())
+        return partition_profiles(df, *rest)
+
+    monkeypatch.setattr("siltstone.plans.profiles.partition_profiles", watched)
+    current_profiles(spark, layers, {"T": table}, {"T": ("id",)})
+    assert seen and all("/day=3/" in file for file in seen)

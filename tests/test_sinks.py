@@ -11,6 +11,7 @@ from siltstone.operators.expectations import Expectation, ExpectationError, requ
 from siltstone.sinks.logs import (
     RUN_LOG_DDL,
     RunEntry,
+    failure_alerts,
     failure_windows,
     log_checks,
     log_run,
@@ -291,3 +292,28 @@ def test_an_added_column_keeps_the_old_snapshot_readable(spark, layers, rows):
     publish_table(spark.createDataFrame([("y",)], "v string"), table)
     assert rows(spark.table(table)) == [("y",)]
     assert rows(spark.read.parquet(*files)) == [(1,)]
+
+
+def test_alerts_are_raised_once(spark, tmp_path, rows):
+    """Late rows complete a window, and later ones do not raise its alert again."""
+    ddl = "event_timestamp timestamp, status string"
+    log, seen = str(tmp_path / "log"), []
+
+    def run(minutes):
+        spark.createDataFrame([(datetime(2026, 3, 1, 10, m), s) for m, s in minutes], ddl).write.mode("append").parquet(log)
+        query = (
+            failure_alerts(spark.readStream.schema(ddl).parquet(log), threshold=1, keep="2 hours")
+            .writeStream.outputMode("append")
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .foreachBatch(lambda df, _: seen.extend((r["window_start"].minute, r["window_end"].minute) for r in df.collect()))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    run([(0, "FAILED"), (1, "SUCCESS"), (7, "FAILED")])
+    assert seen == []
+    run([(40, "FAILED"), (2, "FAILED"), (41, "FAILED"), (42, "FAILED")])
+    assert sorted(seen) == [(0, 5), (40, 45)]
+    run([(3, "FAILED"), (4, "FAILED"), (8, "FAILED"), (43, "FAILED")])
+    assert sorted(seen) == [(0, 5), (5, 10), (40, 45)]
