@@ -77,6 +77,15 @@ def test_vectors(spark, tile):
     assert all(r.kept == (r.vec_id is None or r.vec_id == r.component_id) for r in got)
 
 
+def test_vectors_of_tiny_and_huge_numbers(spark):
+    """Their squares leave the range of doubles, their directions do not."""
+    base = [1.0, 2.0, -1.5, 0.25]
+    rows = [(k, [v * s for v in base], 0) for k, s in enumerate((1e-200, 1.0, 1e200, 1e-320, -1e200))] + [(9, [1e308, -1e308, 1e308, 1e-308], 0)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in similar_vectors(docs).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 4: (0, 4), 9: (0, 9)}
+
+
 def test_vectors_of_an_empty_table_and_of_the_given_one(spark):
     assert similar_vectors(vectors(spark, [])).count() == 0
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
@@ -233,6 +242,10 @@ def test_mixing_with_large_rates_and_odd_rows(spark):
     assert set(count) <= {(1, "small"), (None, "small")}
     assert abs(sum(count.values()) - 4003) < 400
     assert mix_sources(docs.limit(0)).count() == 0
+    named = docs.withColumns({"source_": F.lit("a"), "ORDER_": F.lit("b"), "draws_": F.lit("c"), "copy": F.lit("d")})
+    got = mix_sources(named)
+    assert got.columns == ["doc_id", "text", "source", "source_", "ORDER_", "draws_", "copy"]
+    assert {(r.source_, r.ORDER_, r.draws_) for r in got.collect()} == {("a", "b", "c")}
     with pytest.raises(ValueError):
         mix_sources(docs, {"small": -1.0})
 
