@@ -683,7 +683,7 @@ def quality_incremental(t: Tables) -> DataFrame:
         for name, df in tables.items():
             some = F.coalesce(first[name], F.lit(False))
             batch = df.filter(~some if later else some).persist()
-            upsert_table(batch, names[name], CHECKED_KEYS[name][:1], layouts[name], buckets=4, ledger=ledger)
+            upsert_table(batch, names[name], CHECKED_KEYS[name][:1], layouts[name], buckets=0 if layouts[name] else 4, ledger=ledger)
             batch.unpersist()
         measured = current_profiles(t.spark, layers, names, CHECKED_KEYS)
     return quality.run_checks(
