@@ -17,6 +17,8 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 from siltstone.specs import quoted
 
 MATCHED = "_matched"
+# Marks incoming rows among stored ones.
+INCOMING = "_incoming"
 # The column a bucketed table is laid out by; its name ends with the number of buckets.
 KEY_BUCKET = "_key_bucket_of_"
 
@@ -107,6 +109,34 @@ def newer_than_stored(
     return without_keys(batch, losing, keys)
 
 
+def upsert_newest(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | Sequence[str]
+) -> DataFrame:
+    """:func:`upsert` of the rows that :func:`newer_than_stored` lets pass, in one shuffle that reads both sides once.
+
+    The rows of a key are sorted by ``order``, incoming before stored ones that are equal. An
+    incoming row passes if no stored row comes before it, and stored rows stay if none passes, so if
+    the first is a stored one. Rows with a NULL key match nothing: all stay, and they are spread by
+    the hash of their order. Adds a column that marks the incoming rows.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    rows = target.withColumn(INCOMING, F.lit(False)).unionByName(
+        batch.select(*[quoted(c) for c in target.columns]).withColumn(INCOMING, F.lit(True))
+    )
+    alone = reduce(Column.__or__, [F.col(quoted(k)).isNull() for k in keys])
+    spread = F.when(alone, F.xxhash64(*[F.col(quoted(c)) for c in order]))
+    sorting = [F.col(quoted(c)).desc_nulls_last() for c in order]
+    window = (
+        Window.partitionBy(*[F.col(quoted(k)) for k in keys], spread)
+        .orderBy(*sorting, F.col(INCOMING).desc())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    stored_first = ~F.first(INCOMING).over(window)
+    passes = F.count_if(~F.col(INCOMING)).over(window) == 0
+    kept = alone | F.when(F.col(INCOMING), passes).otherwise(stored_first)
+    return rows.withColumn(MATCHED, kept).filter(MATCHED).drop(MATCHED)
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """State after replacing matched rows and inserting the others.
 

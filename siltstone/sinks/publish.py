@@ -92,6 +92,7 @@ def write_snapshot(
     partition_by: Sequence[str] = (),
     metrics: Mapping[str, Column] | None = None,
     drop: Sequence[str] = (),
+    options: Mapping[str, object] | None = None,
 ) -> Published:
     """Write a new parquet folder, measuring it in the same pass.
 
@@ -106,7 +107,7 @@ def write_snapshot(
     measured = Observation()
     columns = {ROWS: F.count(F.lit(1)), **(metrics or {})}
     df = df.observe(measured, *[c.alias(name) for name, c in columns.items()]).drop(*drop)
-    writer = df.write
+    writer = df.write.options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -145,7 +146,16 @@ def publish_table(
 
     exists = spark.catalog.tableExists(table)
     operation = ledger.start(table, "REPLACE" if exists else "CREATE") if ledger else None
-    written = df.drop(*drop)
+    point_table(df.drop(*drop), table, done, partition_by)
+    if operation:
+        ledger.finish(operation, done.location, done.rows, done.rows, 0, done.rows)
+    return done
+
+
+def point_table(written: DataFrame, table: str, done: Published, partition_by: Sequence[str] = ()) -> None:
+    """Point a table at the snapshot ``done`` of ``written``, declaring it if it is new or its columns have changed."""
+    spark = written.sparkSession
+    exists = spark.catalog.tableExists(table)
     if exists and not partition_by:
         known, wanted = set(spark.table(table).dtypes), dict(written.dtypes)
         names = {name.lower() for name, _ in known}
@@ -163,9 +173,6 @@ def publish_table(
     else:
         spark.sql(f"ALTER TABLE {quoted_table(table)} SET LOCATION '{done.location}'")
     spark.catalog.refreshTable(table)
-    if operation:
-        ledger.finish(operation, done.location, done.rows, done.rows, 0, done.rows)
-    return done
 
 
 def layout_of(spark: SparkSession, table: str) -> list[str]:

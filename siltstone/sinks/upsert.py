@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampType
 
 from siltstone.operators.keyed import (
+    INCOMING,
     KEY_BUCKET,
     bucket_column,
     key_match,
     newer_than_stored,
+    upsert_newest,
     with_buckets,
     without_keys,
 )
 from siltstone.sinks.ledger import Ledger
 from siltstone.sinks.publish import (
+    layout_of,
     new_snapshot_path,
     partition_filter,
     partition_keys,
+    point_table,
     publish_table,
     quoted_table,
     swap_partitions,
@@ -29,7 +33,6 @@ from siltstone.sinks.publish import (
 )
 from siltstone.specs import quoted
 
-INCOMING = "_incoming"
 ROW_LEVEL_PROVIDERS = {"delta", "iceberg", "hudi"}
 BOUNDED = (NumericType, DateType, TimestampType, StringType)
 
@@ -76,6 +79,13 @@ def _laid_out(
     return with_buckets(df, keys, buckets), (*partition_by, f"{KEY_BUCKET}{buckets}")
 
 
+def reads_once(spark: SparkSession, table: str, guarded: bool) -> bool:
+    """Whether :func:`upsert_table` reads its batch once: to create the table, or to merge a whole one under a guard."""
+    if not spark.catalog.tableExists(table):
+        return True
+    return guarded and not layout_of(spark, table) and provider(spark, table) not in ROW_LEVEL_PROVIDERS
+
+
 def upsert_table(
     batch: DataFrame,
     table: str,
@@ -88,7 +98,8 @@ def upsert_table(
 ) -> Merged:
     """Update matched rows, insert the others, create the table on first use.
 
-    ``batch`` must be unique per key and is read several times, so persist it. A table created
+    ``batch`` must be unique per key and is read several times, so persist it unless
+    :func:`reads_once`. A table created
     with ``buckets`` is laid out by a hash of its keys, and later upserts find that out by
     themselves: only buckets of the batch are read and rewritten. Of a partitioned table only
     affected partitions are: those of incoming rows and those holding a row that is being
@@ -121,6 +132,8 @@ def upsert_table(
     if not guard_order and not moving:
         return _merge(batch, None, target, table, keys, layout, ledger)
     order = [guard_order] if isinstance(guard_order, str) else list(guard_order or ())
+    if not layout and provider(spark, table) not in ROW_LEVEL_PROVIDERS:
+        return _merge_newest(batch, target, table, keys, order, ledger)
     matched = matched_rows(target, batch, keys, [*order, *layout]).persist()
     try:
         if not guard_order:
@@ -217,6 +230,32 @@ def _merge(
     return merged
 
 
+def _merge_newest(
+    batch: DataFrame, target: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], ledger: Ledger | None
+) -> Merged:
+    """Merge what the guard lets pass into a table that is rewritten whole, in one pass over both.
+
+    How many rows passed is known once the new files are written; if none did, the table stays with its old ones.
+    """
+    spark = batch.sparkSession
+    # From the files' footers, before the table moves.
+    before = target.count()
+    state = upsert_newest(target, batch, keys, order)
+    metrics = {"rows_incoming": F.count_if(F.col(INCOMING))}
+    done = write_snapshot(state, new_snapshot_path(spark, table), (), metrics, drop=(INCOMING,))
+    incoming = int(done.metrics.get("rows_incoming") or 0)
+    if not incoming:
+        return Merged(0, 0)
+    operation = ledger.start(table, "UPSERT") if ledger else None
+    point_table(state.drop(INCOMING), table, done)
+    copied = done.rows - incoming
+    updated = before - copied
+    merged = Merged(incoming - updated, updated, copied)
+    if operation:
+        ledger.finish(operation, done.location, incoming, merged.rows_inserted, merged.rows_updated, done.rows)
+    return merged
+
+
 def _merge_into(
     batch: DataFrame, target: DataFrame, table: str, keys: Sequence[str], ledger: Ledger | None
 ) -> Merged:

@@ -14,6 +14,8 @@ from pyspark.sql.types import DateType, NumericType, StructType, TimestampType
 from siltstone.sinks.publish import Published, write_snapshot
 from siltstone.specs import TableSpec, quoted
 
+# Bytes of a row group: a landed file is read by as many tasks as it has row groups, however few tasks wrote it.
+LANDED_ROW_GROUP = 8 << 20
 START_OF_TIME = "1900-01-01 00:00:00"
 
 
@@ -167,4 +169,6 @@ def land(
     between copying and measuring can be skipped.
     """
     path = f"{landing_path(bronze, spec, at)}/{uuid.uuid4().hex[:12]}"
-    return write_snapshot(df, path, metrics=slice_metrics(spec))
+    return write_snapshot(
+        df, path, metrics=slice_metrics(spec), options={"parquet.block.size": LANDED_ROW_GROUP}
+    )

@@ -13,7 +13,7 @@ from siltstone.operators.keyed import latest_per_key, total_order
 from siltstone.plans.control import OPERATIONS, RUN_LOG, record_table_sizes
 from siltstone.sinks.ledger import Ledger
 from siltstone.sinks.logs import FAILED, SUCCESS, RunEntry, log_run
-from siltstone.sinks.upsert import Merged, upsert_table
+from siltstone.sinks.upsert import Merged, reads_once, upsert_table
 from siltstone.specs import Layers, TableSpec
 from siltstone.streaming.paths import MAX_FILES_PER_BATCH, batch_paths, landed_paths
 from siltstone.streaming.schema import pinned_schema, read_pinned
@@ -30,24 +30,31 @@ def silver_rows(landed: DataFrame, spec: TableSpec) -> DataFrame:
 
 def ingest_rows(landed: DataFrame, spec: TableSpec, table: str, ledger: Ledger | None = None) -> Merged:
     """Upsert one batch of landed rows."""
-    rows = silver_rows(landed, spec).persist()
+    rows = silver_rows(landed, spec)
+    if reads_once(landed.sparkSession, table, guarded=not spec.last_batch_wins):
+        return _ingest_latest(rows, spec, table, ledger)
+    rows = rows.persist()
     try:
-        return upsert_table(
-            rows,
-            table,
-            spec.primary_keys,
-            spec.partition_by,
-            guard_order=None if spec.last_batch_wins else total_order(
-                rows.schema, spec.primary_keys, spec.order_column, spec.tie_breakers
-            ),
-            stable_partitions=spec.stable_partitions,
-            buckets=spec.key_buckets,
-            ledger=ledger,
-        )
+        return _ingest_latest(rows, spec, table, ledger)
     finally:
         rows.unpersist()
 
 
+def _ingest_latest(rows: DataFrame, spec: TableSpec, table: str, ledger: Ledger | None) -> Merged:
+    return upsert_table(
+        rows,
+        table,
+        spec.primary_keys,
+        spec.partition_by,
+        guard_order=None if spec.last_batch_wins else total_order(
+            rows.schema, spec.primary_keys, spec.order_column, spec.tie_breakers
+        ),
+        stable_partitions=spec.stable_partitions,
+        buckets=spec.key_buckets,
+        ledger=ledger,
+    )
+
+
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream keeps as long as its checkpoint lasts."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()["value"])["id"]

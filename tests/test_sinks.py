@@ -2,12 +2,16 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siltstone.operators.expectations import Expectation, ExpectationError, require, violations
+from siltstone.operators.keyed import INCOMING, newer_than_stored, upsert, upsert_newest
+from siltstone.plans.control import OPERATIONS
+from siltstone.sinks.ledger import Ledger
 from siltstone.sinks.logs import (
     RUN_LOG_DDL,
     RunEntry,
@@ -29,6 +33,8 @@ from siltstone.sinks.publish import (
     write_snapshot,
 )
 from siltstone.sinks.upsert import Merged, upsert_table
+from siltstone.sources import incremental
+from siltstone.specs import TableSpec
 
 DDL = "id int, v string, day date, y int"
 POSITIVE = Expectation("id_positive", "id > 0")
@@ -317,3 +323,43 @@ def test_alerts_are_raised_once(spark, tmp_path, rows):
     assert sorted(seen) == [(0, 5), (40, 45)]
     run([(3, "FAILED"), (4, "FAILED"), (8, "FAILED"), (43, "FAILED")])
     assert sorted(seen) == [(0, 5), (5, 10), (40, 45)]
+
+
+def test_guarded_upsert_of_a_whole_table_is_one_shuffle(spark):
+    stored = spark.range(100).select("id", F.lit("s").alias("v"), F.lit(1).alias("y"))
+    batch = spark.range(50, 150).select("id", F.lit("b").alias("v"), F.lit(2).alias("y"))
+    state = upsert_newest(stored, batch, ["id"], ["y"])
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert state.filter("v = 'b'").count() == 100 and state.count() == 150
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(*[st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from("ab"), st.sampled_from([None, 1, 2])))] * 2)
+def test_newest_in_one_pass_is_guard_then_upsert(spark, rows, stored, incoming):
+    ddl = "id int, v string, y int"
+    target = spark.createDataFrame([(i, v + "s", y) for i, v, y in stored], ddl)
+    batch = spark.createDataFrame([(i, v + "b", y) for i, v, y in incoming], ddl)
+    want = upsert(target, newer_than_stored(target, batch, ["id"], ["y"]), ["id"])
+    got = upsert_newest(target, batch, ["id"], ["y"]).drop(INCOMING)
+    assert rows(got, "id", "v", "y") == rows(want, "id", "v", "y")
+
+
+def test_guarded_upsert_that_passes_nothing_leaves_the_table(spark, layers, rows):
+    table, ledger = layers.silver_table("t"), Ledger(spark, layers.metadata_table(OPERATIONS))
+    upsert_table(frame(spark, [(1, "a", day(5), 1)]), table, ["id"], ledger=ledger)
+    files = spark.table(table).inputFiles()
+    older = frame(spark, [(1, "older", day(4), 1)])
+    assert upsert_table(older, table, ["id"], guard_order="day", ledger=ledger) == Merged(0, 0)
+    assert spark.table(table).inputFiles() == files and ledger.version(table) == 1
+    mixed = frame(spark, [(1, "same", day(5), 1), (None, "n", day(1), 1), (2, "b", None, 1)])
+    assert upsert_table(mixed, table, ["id"], guard_order="day", ledger=ledger) == Merged(2, 1)
+    assert rows(spark.table(table), "id", "v") == [(1, "same"), (2, "b"), (None, "n")]
+
+
+def test_a_landed_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "LANDED_ROW_GROUP", 1 << 16)
+    spec = TableSpec("t", "id", ("id",), "id")
+    done = incremental.land(spark.range(100_000).coalesce(1), str(tmp_path), spec)
+    (file,) = spark.read.parquet(done.location).inputFiles()
+    assert pq.ParquetFile(file.removeprefix("file://")).num_row_groups > 1
