@@ -114,10 +114,9 @@ def upsert_newest(
 ) -> DataFrame:
     """:func:`upsert` of the rows that :func:`newer_than_stored` lets pass, in one shuffle that reads both sides once.
 
-    The rows of a key are sorted by ``order``, incoming before stored ones that are equal. An
-    incoming row passes if no stored row comes before it, and stored rows stay if none passes, so if
-    the first is a stored one. Rows with a NULL key match nothing: all stay, and they are spread by
-    the hash of their order. Adds a column that marks the incoming rows.
+    A key's incoming rows replace the stored ones unless its greatest stored row is greater than
+    its least incoming one. Rows with a NULL key match nothing: all stay, and they are spread
+    by the hash of their order. Adds a column that marks the incoming rows.
     """
     order = [order] if isinstance(order, str) else list(order)
     rows = target.withColumn(INCOMING, F.lit(False)).unionByName(
@@ -125,15 +124,12 @@ def upsert_newest(
     )
     alone = reduce(Column.__or__, [F.col(quoted(k)).isNull() for k in keys])
     spread = F.when(alone, F.xxhash64(*[F.col(quoted(c)) for c in order]))
-    sorting = [F.col(quoted(c)).desc_nulls_last() for c in order]
-    window = (
-        Window.partitionBy(*[F.col(quoted(k)) for k in keys], spread)
-        .orderBy(*sorting, F.col(INCOMING).desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    stored_first = ~F.first(INCOMING).over(window)
-    passes = F.count_if(~F.col(INCOMING)).over(window) == 0
-    kept = alone | F.when(F.col(INCOMING), passes).otherwise(stored_first)
+    window = Window.partitionBy(*[F.col(quoted(k)) for k in keys], spread)
+    place, incoming = F.struct(*[F.col(quoted(c)) for c in order]), F.col(INCOMING)
+    newest = F.max(F.when(~incoming, place)).over(window)
+    oldest = F.min(F.when(incoming, place)).over(window)
+    loses = F.coalesce(newest > oldest, F.lit(False))
+    kept = alone | F.when(incoming, ~loses).otherwise(loses | oldest.isNull())
     return rows.withColumn(MATCHED, kept).filter(MATCHED).drop(MATCHED)
 
 
