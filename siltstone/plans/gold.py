@@ -22,17 +22,20 @@ from siltstone.sinks.publish import (
     PartitionKey,
     Published,
     append_table,
+    layout_of,
     new_snapshot_path,
     partition_filter,
     partition_keys,
     publish_table,
     swap_partitions,
+    table_partitions,
     write_snapshot,
 )
 from siltstone.sinks.upsert import read_state
 from siltstone.sources.tables import inline_rows
 from siltstone.specs import Layers, quoted
 
+LATER = "_later"
 Reader = Callable[[str], DataFrame]
 Lookups = Callable[[Reader, Reader], dict[str, Lookup]]
 
@@ -161,7 +164,7 @@ def _refreshed(spark: SparkSession, layers: Layers, view: View, silver: Reader,
     if touched is None:
         done = publish_table(view.build(rows, lookups), table, view.partition_by, view.expectations, ledger=ledger)
     else:
-        affected = touched | _resolved_anew(spark, layers, view, rows, lookups)
+        affected = _resolved_anew(spark, layers, view, source, rows, lookups, touched)
         if not affected and version == seen:
             return Published("", 0)
         done = _replace_partitions(view, table, rows, lookups, affected, ledger) if affected else Published("", 0)
@@ -184,20 +187,30 @@ def _lookup_table(layers: Layers, view: View, name: str) -> str:
 
 def changed_keys(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that resolve to other values than before, or to some where there were none, or the reverse."""
-    gone, come = before.subtract(after), after.subtract(before)
-    return gone.unionByName(come).select(*map(quoted, keys)).distinct()
+    sides = before.withColumn(LATER, F.lit(False)).unionByName(after.withColumn(LATER, F.lit(True)))
+    once = sides.groupBy(*map(quoted, before.columns)).agg((F.min(LATER) == F.max(LATER)).alias(LATER)).filter(LATER)
+    return once.select(*map(quoted, keys)).distinct()
 
 
 def _resolved_anew(
-    spark: SparkSession, layers: Layers, view: View, rows: DataFrame, lookups: dict[str, Lookup]
+    spark: SparkSession, layers: Layers, view: View, source: str, rows: DataFrame, lookups: dict[str, Lookup],
+    touched: set[PartitionKey],
 ) -> set[PartitionKey]:
-    """Partitions of the followed table with rows whose lookups changed since the last refresh."""
-    affected: set[PartitionKey] = set()
+    """``touched``, and partitions of the followed table with rows whose lookups changed since the last refresh.
+
+    Only partitions that are not among them yet are looked at, and nothing once none is left.
+    """
+    same = [c.lower() for c in layout_of(spark, source)] == [c.lower() for c in view.partition_by]
+    existing = table_partitions(spark, source) if same else None
+    affected = set(touched)
     for name, lookup in lookups.items():
+        if existing is not None and existing <= affected:
+            break
         before = spark.table(_lookup_table(layers, view, name))
         changed = stored(changed_keys(before, lookup.frame, lookup.keys), "changed")
         if not changed.isEmpty():
-            hit = rows.select(*map(quoted, dict.fromkeys([*lookup.keys, *view.partition_by])))
+            here = F.coalesce(partition_filter(rows.schema, view.partition_by, affected), F.lit(False))
+            hit = rows.filter(~here).select(*map(quoted, dict.fromkeys([*lookup.keys, *view.partition_by])))
             affected |= partition_keys(hit.join(changed, list(lookup.keys), "left_semi"), view.partition_by)
     return affected
 

@@ -137,10 +137,14 @@ def upsert_table(
     matched = matched_rows(target, batch, keys, [*order, *layout]).persist()
     try:
         if not guard_order:
+            if batch.isEmpty():
+                return Merged(0, 0)
             return _merge(batch, matched, target, table, keys, layout, ledger)
         accepted = newer_than_stored(matched, batch, keys, order).persist()
         try:
-            return _merge(accepted, matched, target, table, keys, layout, ledger)
+            if accepted.isEmpty():
+                return Merged(0, 0)
+            return _merge(accepted, _matching(matched, accepted, keys), target, table, keys, layout, ledger)
         finally:
             accepted.unpersist()
     finally:
@@ -185,14 +189,10 @@ def _merge(
     layout: Sequence[str],
     ledger: Ledger | None,
 ) -> Merged:
-    """Merge accepted rows; ``matched`` are the stored rows they may meet, if those were looked up."""
+    """Merge accepted rows; ``matched`` are the stored rows they replace, if those were looked up."""
     spark = batch.sparkSession
     if provider(spark, table) in ROW_LEVEL_PROVIDERS:
         return _merge_into(batch, target, table, keys, ledger)
-    if matched is not None:
-        if batch.isEmpty():
-            return Merged(0, 0)
-        matched = _matching(matched, batch, keys)
     affected = set()
     if layout:
         affected = partition_keys(batch, layout)
@@ -208,8 +208,10 @@ def _merge(
     # are taken before the table moves, which would refresh what is cached of it.
     before = target.count() if matched is None else None
     updated = 0 if matched is None else matched.count()
+    # No stored row goes if none matched: the rows are then added without a join.
+    left = target if matched is not None and not updated else without_keys(target, batch, keys)
     state = (
-        without_keys(target, batch, keys)
+        left
         .withColumn(INCOMING, F.lit(False))
         .unionByName(batch.withColumn(INCOMING, F.lit(True)))
     )

@@ -16,11 +16,12 @@ from siltstone.operators import scd2
 from siltstone.operators.expectations import Expectation, ExpectationError
 from siltstone.operators.joins import Lookup, resolve_keys
 from siltstone.operators.keyed import KEY_BUCKET, bucket_column, with_buckets
-from siltstone.plans import runs
+from siltstone.plans import gold, runs
 from siltstone.plans.control import OPERATIONS, RUN_LOG
 from siltstone.plans.gold import Views, changed_keys
 from siltstone.plans.runs import apply_scd2, run_scd2
 from siltstone.sinks.ledger import Ledger, last_operation
+from siltstone.sinks import upsert as upserts
 from siltstone.sinks.publish import publish_table, table_partitions
 from siltstone.sinks.upsert import Merged, matched_rows, read_state, rebucket_table, upsert_table
 from siltstone.specs import Scd2Spec, TableSpec, table_specs
@@ -369,3 +370,19 @@ def test_changed_keys(spark, rows):
     before = frame(spark, [(1, "a"), (2, "b"), (3, None)], "id int, name string")
     after = frame(spark, [(1, "a"), (2, "c"), (4, "d"), (3, None)], "id int, name string")
     assert rows(changed_keys(before, after, ["id"])) == [(2,), (4,)]
+
+
+def test_a_refresh_that_is_whole_anyway_and_new_rows_alone_need_no_joins(spark, layers, rows, monkeypatch):
+    ledger, views = setup(spark, layers), model()
+    views.refresh(spark, layers)
+    publish_table(frame(spark, [(1, "uno"), (2, "two")], "id int, name string"), layers.silver_table("names"))
+
+    def unneeded(*_):
+        raise AssertionError("not needed")
+
+    monkeypatch.setattr(upserts, "without_keys", unneeded)
+    monkeypatch.setattr(gold, "changed_keys", unneeded)
+    more = events(spark, [(20 + day, 1, 1, day) for day in (1, 2, 3, 4)])
+    assert upsert_table(more, layers.silver_table("events"), ["k"], ["day"], ledger=ledger) == Merged(4, 0)
+    assert views.refresh(spark, layers)["named"].rows == 8
+    assert view_rows(spark, layers, rows)[0] == (10, 5, "uno")
