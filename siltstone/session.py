@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # What a Python worker and the JVM beside it hold of a batch of texts, and keep when it is done.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
